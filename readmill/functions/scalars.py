@@ -8,12 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from readmill.functions import variants as V
+from readmill.functions.variants import Field
 
 # Severity keys in priority order.
 SEVERITY_KEYS = ("severity", "current_status", "overall_severity", "overall_status")
 
 
-def enum_name(f: Column, names: Mapping[int, str], default: str | None) -> Column:
+def enum_name(f: Field, names: Mapping[int, str], default: str | None) -> Column:
     """Enum number -> name; text passes through; unknown numbers keep their text.
 
     ``names`` is the enum's own definition, so it is bounded by the contract and
@@ -21,21 +22,22 @@ def enum_name(f: Column, names: Mapping[int, str], default: str | None) -> Colum
     """
     if names:
         pairs = [F.lit(x) for number, name in names.items() for x in (int(number), name)]
-        known = F.when(~V.is_string(f), F.element_at(F.create_map(*pairs), V.integer(f)))
+        listed = f.text.isin(*[str(int(number)) for number in names]) & ~V.is_string(f)
+        known = F.when(listed, F.try_element_at(F.create_map(*pairs), f.get("int")))
     else:
         known = F.lit(None).cast("string")
-    return F.when(V.is_present(f), F.coalesce(known, V.as_text(f))).otherwise(F.lit(default))
+    return F.when(f.text.isNotNull(), F.coalesce(known, f.text)).otherwise(F.lit(default))
 
 
-def count_or_zero(f: Column) -> Column:
+def count_or_zero(f: Field) -> Column:
     """Whole number or 0: text such as '91.7' is not a whole number."""
     return F.coalesce(V.integer(f), F.lit(0).cast("bigint"))
 
 
-def severity(envelope: Column) -> Column:
+def severity(envelope: Field) -> Column:
     """Top-level severity, else the first truthy severity key inside ``data``."""
-    nested = [V.truthy_text(V.field(envelope, f"data.{k}")) for k in SEVERITY_KEYS]
-    return F.coalesce(V.truthy_text(V.field(envelope, "severity")), *nested)
+    nested = [V.truthy_text(envelope / "data" / key) for key in SEVERITY_KEYS]
+    return F.coalesce(V.truthy_text(envelope / "severity"), *nested)
 
 
 def strip(value: Column) -> Column:
@@ -54,19 +56,36 @@ def link_severed(enabled: Column, toxics: Column) -> Column:
     )
 
 
-def wgs84(kinematics: Column) -> tuple[Column, Column]:
+def wgs84(kinematics: Field) -> tuple[Column, Column]:
     """(lat, lon) of a kinematics block; both NULL when one present value is unusable."""
-    position = V.field(kinematics, "position")
-    block = F.when(
-        V.truthy(V.field(position, "wgs84")), V.field(position, "wgs84")
-    ).otherwise(position)
-
-    def raw(long_name: str, short_name: str) -> Column:
-        found = V.first_present(block, long_name, short_name)
-        return F.when(V.is_object(found), V.field(found, "value")).otherwise(found)
-
-    lat_raw, lon_raw = raw("latitude", "lat"), raw("longitude", "lon")
-    lat, lon = V.floating(lat_raw), V.floating(lon_raw)
-    unusable = (V.is_present(lat_raw) & lat.isNull()) | (V.is_present(lon_raw) & lon.isNull())
-    usable = ~F.coalesce(unusable, F.lit(False))
+    position = kinematics / "position"
+    nested = V.truthy_block(position / "wgs84")
+    lat, lat_bad = _coordinate(position, nested, "latitude", "lat")
+    lon, lon_bad = _coordinate(position, nested, "longitude", "lon")
+    usable = ~(lat_bad | lon_bad)
     return F.when(usable, lat), F.when(usable, lon)
+
+
+def _coordinate(
+    position: Field, nested: Column, long_name: str, short_name: str
+) -> tuple[Column, Column]:
+    """Value of a coordinate, and whether it is present but not a number."""
+
+    def number(f: Field) -> Column:
+        return F.when(V.is_object(f), V.floating(f / "value")).otherwise(V.floating(f))
+
+    def unusable(f: Field) -> Column:
+        wrapped = (f / "value").variant.isNotNull() & ~F.is_variant_null((f / "value").variant)
+        return F.when(V.is_object(f), wrapped).otherwise(F.lit(True)) & number(f).isNull()
+
+    def pick(block: Field, read) -> Column:
+        long_form, short_form = block / long_name, block / short_name
+        return (
+            F.when(V.is_present(long_form), read(long_form))
+            .when(V.is_present(short_form), read(short_form))
+        )
+
+    inner = position / "wgs84"
+    value = F.when(nested, pick(inner, number)).otherwise(pick(position, number))
+    bad = F.when(nested, pick(inner, unusable)).otherwise(pick(position, unusable))
+    return value, F.coalesce(bad, F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from readmill.functions import variants as V
+from readmill.functions.variants import Field
 
 # Fixed pattern: the ISO-8601 / RFC3339 texts accepted as instants. The guard is
 # needed because a bare cast also takes '2026', 'T03:00' and padded text.
@@ -15,8 +16,16 @@ _INSTANT = (
 )
 _ZONED = r"[T ].*(Z|[+-]\d{2}:?\d{2})$"
 
+_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+
+# From 2**30 seconds on (January 2004), the sum of whole seconds and the rounded
+# fraction is the correctly rounded quotient: no multiple of a nanosecond comes
+# closer than 6e-14 s to the midpoint of two doubles.
+_EXACT_NS = (1 << 30) * 1_000_000_000
+
 # Fixed value: nanoseconds at the end of year 9999.
 MAX_NS = 253402300799999999999
+_MAX_SECONDS = 253402300800.0
 
 
 def instant(value: Column) -> Column:
@@ -27,53 +36,65 @@ def instant(value: Column) -> Column:
     return F.when(value.rlike(_INSTANT), zoned.try_cast("timestamp"))
 
 
-def instant_field(f: Column) -> Column:
-    """As :func:`instant` on a VARIANT; non-strings give NULL."""
-    return F.when(V.is_string(f), instant(V.as_text(f)))
+def instant_field(f: Field) -> Column:
+    """As :func:`instant` on a field; text forms of other types never match."""
+    return instant(f.text)
+
 
+def ns_seconds(f: Field, n: Column) -> Column:
+    """Nanoseconds -> seconds as the correctly rounded double. ``n`` is ``integer(f)``."""
+    second = F.lit(1000000000).cast("bigint")
+    recent = F.call_function("div", n, second) + (n % second) / F.lit(1e9)
+    wide = V.wide_integer(f).try_cast("decimal(21,0)")
+    other = (wide / F.lit(1000000000).cast("decimal(10,0)")).cast("double")
+    return F.when(n >= F.lit(_EXACT_NS), recent).otherwise(other)
 
-def _from_ns(ns: Column) -> Column:
-    """Nanoseconds -> microsecond TIMESTAMP, rounding through a double."""
-    seconds = (ns.cast("decimal(21,0)") / F.lit(1000000000).cast("decimal(10,0)")).cast("double")
+
+def seconds_instant(seconds: Column) -> Column:
+    """Seconds as a double -> TIMESTAMP, the fraction rounded half-even to microseconds."""
     whole = F.when(seconds < 0, F.ceil(seconds)).otherwise(F.floor(seconds))
     micros = whole * F.lit(1000000) + F.bround((seconds - whole) * F.lit(1e6)).cast("bigint")
-    return F.timestamp_micros(micros)
+    return F.when(F.abs(seconds) < F.lit(_MAX_SECONDS), F.timestamp_micros(micros))
 
 
-def ns_instant(f: Column) -> Column:
-    """Integer nanoseconds; zero and below mean unset."""
-    ns = V.wide_integer(f)
-    return F.when((ns > 0) & (ns <= F.lit(str(MAX_NS)).cast("decimal(38,0)")), _from_ns(ns))
+def positive_instant(seconds: Column) -> Column:
+    """Zero and below mean unset."""
+    return F.when(seconds > 0, seconds_instant(seconds))
 
 
-def ns_out_of_range(f: Column) -> Column:
-    ns = V.wide_integer(f)
-    return F.coalesce(ns > F.lit(str(MAX_NS)).cast("decimal(38,0)"), F.lit(False))
+def ns_instant(f: Field) -> Column:
+    """Integer nanoseconds -> TIMESTAMP; zero and below mean unset."""
+    return positive_instant(ns_seconds(f, V.integer(f)))
 
 
-def ns_instant_or(f: Column, default: Column) -> Column:
+def ns_instant_or(f: Field, default: Column) -> Column:
     """Integer nanoseconds of any sign; the default when unusable."""
-    ns = V.wide_integer(f)
-    return F.coalesce(
-        F.when(F.abs(ns) <= F.lit(str(MAX_NS)).cast("decimal(38,0)"), _from_ns(ns)), default
-    )
+    return F.coalesce(seconds_instant(ns_seconds(f, V.integer(f))), default)
+
 
+def ns_out_of_range(f: Field) -> Column:
+    short = F.coalesce(F.length(f.text) <= 19, F.lit(True))
+    beyond = V.wide_integer(f) > F.lit(str(MAX_NS)).cast("decimal(38,0)")
+    return V.unless_settled(short, False, F.coalesce(beyond, F.lit(False)))
 
-def duration_seconds(f: Column) -> Column:
+
+def ns_instant_or(f: Field, default: Column, n: Column | None = None) -> Column:
+    """Integer nanoseconds of any sign; the default when unusable."""
+    return F.coalesce(_from_ns(f, V.integer(f) if n is None else n), default)
+
+
+def duration_seconds(f: Field) -> Column:
     """'3.5s', '120s', '90' or a number -> whole seconds, truncated."""
-    body = F.regexp_replace(V.as_text(f), "s$", "")
-    numeric = body.rlike(r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$")
-    from_text = F.when(numeric, body.try_cast("double").try_cast("bigint"))
-    return F.when(V.is_string(f), from_text).otherwise(
-        F.when(V.is_number(f) | V.is_boolean(f), F.try_variant_get(f, "$", "bigint"))
+    body = F.regexp_replace(f.text, "s$", "")
+    return (
+        F.when(body.rlike(_NUMBER), body.try_cast("double").try_cast("bigint"))
+        .when(V.is_boolean(f), f.get("bigint"))
     )
 
 
-def bad_duration(f: Column) -> Column:
+def bad_duration(f: Field) -> Column:
     """Infinite durations cannot be whole seconds."""
-    return F.coalesce(
-        V.is_string(f) & V.as_text(f).rlike(r"(?i)^\s*[+-]?inf(inity)?\s*s?$"), F.lit(False)
-    )
+    return F.coalesce(f.text.rlike(r"(?i)^\s*[+-]?inf(inity)?\s*s?$"), F.lit(False))
 
 
 def epoch_micros(ts: Column) -> Column:

@@ -43,16 +43,26 @@ def decode_cloudevents(messages: DataFrame) -> DataFrame:
     """JSON objects with a truthy id, source and type."""
     decoded = _decode_object(messages, "CloudEvent envelope is ")
     v = F.col("v")
-    absent = F.array_compact(
-        F.array(*[F.when(~V.truthy(V.field(v, a)), F.lit(a)) for a in REQUIRED_ATTRIBUTES])
+    missing = F.concat_ws(
+        ", ", *[F.when(~V.truthy(V.field(v, a)), F.lit(a)) for a in REQUIRED_ATTRIBUTES]
     )
-    missing = F.concat(
-        F.lit("CloudEvent missing required attribute(s): "), F.array_join(absent, ", ")
-    )
-    return decoded.withColumn(
-        "decode_error",
-        F.coalesce(F.col("decode_error"), F.when(v.isNotNull() & (F.size(absent) > 0), missing)),
+    error = F.when(
+        v.isNotNull() & (missing != ""),
+        F.concat(F.lit("CloudEvent missing required attribute(s): "), missing),
     )
+    good = F.when(error.isNull(), v)
+    return _once(decoded, good, F.coalesce(F.col("decode_error"), error))
+
+
+def _once(df: DataFrame, v: Column, error: Column) -> DataFrame:
+    """Add ``v`` and ``decode_error`` through a one-row generator.
+
+    Filters on what is derived from them then stay above the parse. Without this the
+    optimizer copies the parse into the filter, once for every field it reads.
+    """
+    pair = F.struct(v.alias("v"), error.alias("decode_error"))
+    rest = [c for c in df.columns if c not in ("v", "decode_error")]
+    return df.select(*rest, F.inline(F.array(pair)))
 
 
 def _decode_object(messages: DataFrame, type_error: str) -> DataFrame:
@@ -77,30 +87,25 @@ def _decode_object(messages: DataFrame, type_error: str) -> DataFrame:
         F.try_variant_get(F.col("_pair"), "$[1]", "string") == F.col("_mark"), F.lit(False)
     )
     # The first character of complete JSON text settles its type.
-    head = F.substring(F.ltrim(F.regexp_replace(F.col("_text"), r"^[ \t\r\n]+", "")), 1, 1)
+    opens_object = F.col("_text").rlike(r"^[ \t\r\n]*\{")
     error = (
         F.when(F.col("value").isNull(), F.lit(_TOMBSTONE))
         .when(~complete, F.lit(_NOT_JSON))
         .when(
-            head != "{",
-            F.concat(F.lit(type_error), _type_name(head, F.col("_text")), F.lit(", expected object")),
+            ~opens_object,
+            F.concat(F.lit(type_error), _type_name(F.col("_text")), F.lit(", expected object")),
         )
     )
-    return (
-        parsed.withColumn("decode_error", error)
-        .withColumn(
-            "v",
-            F.when(
-                F.col("decode_error").isNull(),
-                F.try_variant_get(F.col("_pair"), "$[0]", "variant"),
-            ),
-        )
-        .drop("_text", "_mark", "_pair")
-    )
+    flagged = parsed.withColumn("decode_error", error)
+    body = F.try_variant_get(F.col("_pair"), "$[0]", "variant")
+    return _once(
+        flagged, F.when(F.col("decode_error").isNull(), body), F.col("decode_error")
+    ).drop("_text", "_mark", "_pair")
 
 
-def _type_name(head: Column, body: Column) -> Column:
+def _type_name(body: Column) -> Column:
     """Type names used in error texts."""
+    head = F.regexp_extract(body, r"^[ \t\r\n]*(.)", 1)
     return (
         F.when(head == "[", "list")
         .when(head == '"', "str")
@@ -132,11 +137,8 @@ def decode_proto_binary(message: str, descriptor_path: str, package: str = "") -
         error = F.when(F.col("value").isNull(), F.lit(_TOMBSTONE)).when(
             F.col("_msg").isNull(), F.lit(f"not valid {message}")
         )
-        return (
-            parsed.withColumn("decode_error", error)
-            .withColumn("v", F.when(error.isNull(), F.parse_json(F.to_json(wire_form))))
-            .drop("_msg")
-        )
+        v = F.when(error.isNull(), F.parse_json(F.to_json(wire_form)))
+        return _once(parsed, v, error).drop("_msg")
 
     return decode
 

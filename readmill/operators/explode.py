@@ -30,5 +30,5 @@ def explode_elements(rows: DataFrame) -> DataFrame:
 def explode_capabilities(rows: DataFrame) -> DataFrame:
     """Capabilities of an asset, each kept as a VARIANT."""
     return _entries(rows, "capabilities", ["asset_id"]).select(
-        "asset_id", "position", F.when(V.is_present(F.col("entry")), F.col("entry")).alias("capability")
+        "asset_id", "position", F.when(V.is_present(V.field(F.col("entry"))), F.col("entry")).alias("capability")
     )

@@ -8,17 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readmill.functions import variants as V
+from readmill.functions.variants import Field
 from readmill.operators.assignment import Asset, Strategy, with_fallback
 
 # Origin of a site that has not been told its own.
 SITE_DEFAULTS = ("edge-01", "region-01")
 
 
-def message_pair(block: Column) -> tuple[Column, Column]:
+def message_pair(block: Field) -> tuple[Column, Column]:
     """Origin stamped on the message; NULL where blank or missing."""
     return (
-        V.truthy_text(V.field(block, "edge_id")),
-        V.truthy_text(V.field(block, "region_id")),
+        V.truthy_text(block / "edge_id"),
+        V.truthy_text(block / "region_id"),
     )
 
 

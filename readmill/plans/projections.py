@@ -35,15 +35,30 @@ class Message:
     key: Column
     as_of: Column
     enums: Mapping[str, Mapping[int, str]]
+    shared: dict[str, Column] = field(default_factory=dict)
+    derived: dict[str, Column] = field(default_factory=dict)
 
-    def at(self, path: str) -> Column:
+    def once(self, name: str, value: Column, derived: bool = False) -> Column:
+        """A value computed once, below the projection, and used several times.
+
+        A ``derived`` one may use the others.
+        """
+        (self.derived if derived else self.shared)[f"_{name}"] = value
+        return F.col(f"_{name}")
+
+    def ns_seconds(self, path: str) -> Column:
+        n = self.once(path, V.integer(self.at(path)))
+        return self.once(f"{path}_seconds", TM.ns_seconds(self.at(path), n), derived=True)
+
+    def at(self, path: str = "") -> V.Field:
         return V.field(self.v, path)
 
     def text(self, path: str) -> Column:
-        return V.text(self.v, path)
+        return self.at(path).text
 
     def id_or_key(self, path: str) -> Column:
-        return F.coalesce(V.truthy_text(self.at(path)), F.nullif(self.key, F.lit("")))
+        found = F.coalesce(V.truthy_text(self.at(path)), F.nullif(self.key, F.lit("")))
+        return self.once(f"id_{path.replace('.', '_')}", found)
 
 
 Check = Callable[[Message], list[tuple[Column, str]]]
@@ -69,15 +84,18 @@ class Projection:
     integers: tuple[str, ...] = ()
     # "fieldwise" or "pair" and the block holding the message's own origin.
     origin: str | None = None
-    origin_block: Callable[[Message], Column] | None = None
+    origin_block: Callable[[Message], V.Field] | None = None
     position: Callable[[Message], tuple[Column, Column]] | None = None
     retention_hours: int | None = None
     asset_ttl_hours: int | None = None
     variants: tuple[str, ...] = field(default=())
 
 
-def _objects(*paths: str) -> Check:
-    return lambda m: [(V.not_object(m.at(p)), f"{p} is not an object") for p in paths]
+def _objects(**usual: str) -> Check:
+    """Blocks that must be objects, each with an entry it usually has."""
+    return lambda m: [
+        (V.not_object(m.at(p), entry), f"{p} is not an object") for p, entry in usual.items()
+    ]
 
 
 def _missing(id_column: Callable[[Message], Column]) -> Callable[[Message], Column]:
@@ -99,8 +117,8 @@ def _cm_state(m: Message) -> dict[str, Column]:
         "lifecycle": S.enum_name(m.at("lifecycle"), lifecycle, "LIFECYCLE_UNSPECIFIED"),
         "overall_status": S.enum_name(m.at("overall_status"), status, "CONFIG_STATUS_UNSPECIFIED"),
         "last_alerted_status": S.enum_name(m.at("last_alerted_status"), status, None),
-        "as_of": TM.ns_instant(m.at("as_of_ns")),
-        "last_observed_at": TM.ns_instant(m.at("last_observed_at_ns")),
+        "as_of": TM.positive_instant(m.ns_seconds("as_of_ns")),
+        "last_observed_at": TM.positive_instant(m.ns_seconds("last_observed_at_ns")),
         "installed": V.or_default(m.at("installed"), "[]"),
         "mod_status": V.or_default(m.at("mod_status"), "[]"),
         "discrepancies": V.or_default(m.at("discrepancies"), "[]"),
@@ -116,9 +134,9 @@ def _ns_in_range(*paths: str) -> Check:
 def _logistics_status(m: Message) -> dict[str, Column]:
     return {
         "platform_variant": m.text("status.platform_variant"),
-        "overall_severity": V.as_text(
-            V.or_default(m.at("status.overall_severity"), '"LOGISTICS_SEVERITY_UNSPECIFIED"')
-        ),
+        "overall_severity": F.when(
+            m.at("status.overall_severity").variant.isNull(), "LOGISTICS_SEVERITY_UNSPECIFIED"
+        ).otherwise(m.text("status.overall_severity")),
         "previous_severity": m.text("previous_severity"),
         "constraining_factors": V.or_default(m.at("status.constraining_factors"), "[]"),
         "projected_mission_capable_remaining_seconds": TM.duration_seconds(
@@ -144,7 +162,7 @@ def _logistics_late(m: Message) -> list[tuple[Column, str]]:
         "status.projected_mission_capable_remaining",
         "status.projected_time_to_next_constraint",
     )
-    return _objects("provenance")(m) + [
+    return _objects(provenance="edge_id")(m) + [
         (TM.bad_duration(m.at(p)), f"{p} is not a finite duration") for p in durations
     ]
 
@@ -155,24 +173,23 @@ def _telemetry_latest(m: Message) -> dict[str, Column]:
         "platform_variant": m.text("asset.platform_variant"),
         "callsign": m.text("asset.callsign"),
         "force_id": m.text("asset.force"),
-        "kinematics": m.at("kinematics"),
-        "sustainment": m.at("sustainment"),
+        "kinematics": m.at("kinematics").variant,
+        "sustainment": m.at("sustainment").variant,
         "provenance": V.or_falsy(m.at("provenance"), "{}"),
         "last_sample_at": TM.instant_field(m.at("provenance.sample_time")),
         "schema_revision": S.count_or_zero(m.at("schema_revision")),
         "power_state": m.text(state + "power_state"),
         "functional_mode": m.text(state + "functional_mode"),
         "health_state": m.text(state + "health_state"),
-        "actively_receiving": V.boolean(m.v, state + "actively_receiving"),
-        "actively_transmitting": V.boolean(m.v, state + "actively_transmitting"),
+        "actively_receiving": m.at(state + "actively_receiving").boolean,
+        "actively_transmitting": m.at(state + "actively_transmitting").boolean,
         "updated_at": m.as_of,
     }
 
 
 def _telemetry_late(m: Message) -> list[tuple[Column, str]]:
-    position = m.at("kinematics.position")
-    return _objects("provenance", "operational_state")(m) + [
-        (V.not_object(position), "kinematics.position is not an object")
+    return _objects(provenance="edge_id", operational_state="power_state")(m) + [
+        (V.not_object(m.at("kinematics.position"), "lat"), "kinematics.position is not an object")
     ]
 
 
@@ -182,25 +199,25 @@ def _telemetry_windows(m: Message) -> dict[str, Column]:
         "fluid_trends": V.or_default(m.at("fluid_trends"), "[]"),
         "consumable_trends": V.or_default(m.at("consumable_trends"), "[]"),
         "component_wear_trends": V.or_default(m.at("wear_trends"), "[]"),
-        "window_duration_seconds": TM.duration_seconds(_window_duration(m)),
+        "window_duration_seconds": _window_duration(m, TM.duration_seconds),
         "sample_count": V.integer(m.at("window.sample_count")),
         "computed_at": TM.instant_field(m.at("computed_at")),
         "updated_at": m.as_of,
     }
 
 
-def _window_duration(m: Message) -> Column:
-    first = m.at("window.duration")
-    return F.when(V.truthy(first), first).otherwise(m.at("window.window_duration"))
+def _window_duration(m: Message, read: Callable[[V.Field], Column]) -> Column:
+    first, second = m.at("window.duration"), m.at("window.window_duration")
+    return F.when(V.truthy(first), read(first)).otherwise(read(second))
 
 
 def _windows_late(m: Message) -> list[tuple[Column, str]]:
     samples = m.at("window.sample_count")
     # Here even an empty text is an error: only null and absent mean "unknown".
-    return _objects("window", "provenance")(m) + [
-        (TM.bad_duration(_window_duration(m)), "window duration is not a finite duration"),
+    return _objects(window="sample_count", provenance="edge_id")(m) + [
+        (_window_duration(m, TM.bad_duration), "window duration is not a finite duration"),
         (
-            V.is_present(samples) & V.wide_integer(samples).isNull(),
+            samples.text.isNotNull() & V.wide_integer(samples).isNull(),
             "window.sample_count is not a whole number",
         ),
     ]
@@ -222,14 +239,15 @@ def _element_telemetry(m: Message) -> dict[str, Column]:
         "profile_name": F.coalesce(V.truthy_text(m.at("profile_name")), F.lit("")),
         "elements": V.or_falsy(m.at("elements"), "[]"),
         "operational": V.or_falsy(m.at("operational"), "{}"),
-        "observed_at": TM.ns_instant_or(m.at("observed_at_ns"), m.as_of),
+        "observed_at": F.coalesce(TM.seconds_instant(m.ns_seconds("observed_at_ns")), m.as_of),
         "updated_at": m.as_of,
     }
 
 
 def _inventory_ids(m: Message) -> tuple[Column, Column]:
     def clean(path: str) -> Column:
-        return F.nullif(S.strip(V.truthy_text(m.at(path))), F.lit(""))
+        stripped = F.nullif(S.strip(V.truthy_text(m.at(path))), F.lit(""))
+        return m.once(f"stripped_{path}", stripped)
 
     return clean("asset_id"), clean("layer_name")
 
@@ -257,17 +275,13 @@ def _inventory_early(m: Message) -> list[tuple[Column, str]]:
 # ------------------------------------------------------------------------ events
 
 
-def _event_data(m: Message) -> Column:
-    return F.when(V.is_object(m.at("data")), m.at("data"))
-
-
 def _tactical_events(m: Message) -> dict[str, Column]:
     return {
         "id": m.text("id"),
         "source": m.text("source"),
         "type": m.text("type"),
         "subject": F.coalesce(V.truthy_text(m.at("subject")), m.key, F.lit("")),
-        "severity": S.severity(m.v),
+        "severity": S.severity(m.at()),
         "time": TM.instant_field(m.at("time")),
         "data": V.or_default(m.at("data"), "{}"),
         "ingested_at": m.as_of,
@@ -316,13 +330,13 @@ _ALL = (
     _asset(
         "cm_state", "asset-cm-state", "asset_cm_state", "json", _cm_state,
         late_errors=_ns_in_range("as_of_ns", "last_observed_at_ns"),
-        origin="fieldwise", origin_block=lambda m: m.v,
+        origin="fieldwise", origin_block=lambda m: m.at(),
         variants=("installed", "mod_status", "discrepancies", "manual_discrepancies"),
     ),
     _asset(
         "logistics_status", "asset-logistics-status", "asset_logistics_status",
         "AssetLogisticsStatusUpdate", _logistics_status, id_path="status.asset_id",
-        early_errors=_objects("status"), late_errors=_logistics_late,
+        early_errors=_objects(status="asset_id"), late_errors=_logistics_late,
         integers=("status.status_revision",),
         origin="pair", origin_block=lambda m: m.at("provenance"),
         variants=("constraining_factors",),
@@ -330,7 +344,7 @@ _ALL = (
     _asset(
         "telemetry_latest", "telemetry-latest-state", "telemetry_latest_state",
         "EntityTelemetryEvent", _telemetry_latest, id_path="asset.asset_id",
-        early_errors=_objects("asset"), late_errors=_telemetry_late,
+        early_errors=_objects(asset="asset_id"), late_errors=_telemetry_late,
         integers=("schema_revision",),
         origin="pair", origin_block=lambda m: m.at("provenance"),
         position=lambda m: S.wgs84(m.at("kinematics")),
@@ -340,7 +354,7 @@ _ALL = (
         name="tactical_events", topic="tactical-events", table="tactical_events",
         decode_as="cloudevents.json", mode="append", keys=("id",),
         columns=_tactical_events, skip=lambda m: ~V.truthy(m.at("id")),
-        origin="fieldwise", origin_block=_event_data, retention_hours=24,
+        origin="fieldwise", origin_block=lambda m: m.at("data"), retention_hours=24,
         variants=("data",),
     ),
     _asset(
@@ -363,7 +377,7 @@ _ALL = (
     ),
     _asset(
         "capability_state", "asset-capability-snapshot", "asset_capability_state", "json",
-        _capability_state, late_errors=_objects("provenance"),
+        _capability_state, late_errors=_objects(provenance="edge_id"),
         origin="pair", origin_block=lambda m: m.at("provenance"),
         variants=("capabilities",),
     ),
@@ -372,7 +386,7 @@ _ALL = (
         table="asset_element_telemetry", decode_as="json", mode="upsert",
         keys=("asset_id",), columns=_element_telemetry,
         skip=lambda m: m.id_or_key("asset_id").isNull()
-        | (V.truthy(m.at("elements")) & ~V.is_array(m.at("elements"))),
+        | V.not_array(m.at("elements")),
         origin="pair", asset_ttl_hours=24, variants=("elements", "operational"),
     ),
     Projection(
@@ -427,7 +441,10 @@ def project(
     Every message keeps one row, so failures can be quarantined from the same pass.
     """
     key_text = F.coalesce(F.decode(F.col("key"), "utf-8"), F.lit(""))
-    m = Message(F.col("v"), key_text, F.current_timestamp() if as_of is None else as_of, enums or {})
+    m = Message(
+        F.col("v"), F.col("_key"), F.current_timestamp() if as_of is None else as_of, enums or {}
+    )
+    m.once("key", key_text)
     skip = F.coalesce(projection.skip(m), F.lit(False))
     early = _first_error(projection.early_errors(m))
     wrong = [(V.bad_integer(m.at(p)), f"{p} is not a whole number") for p in projection.integers]
@@ -469,12 +486,17 @@ def project(
     clashes = set(columns) & set(ENVELOPE)
     if clashes:
         raise ValueError(f"columns of {projection.name} hide the message envelope: {clashes}")
-    projected = decoded.select(
-        *ENVELOPE,
-        *[c.alias(n) for n, c in (status | columns | extra).items()],
+    # Computed in one projection, where common parts are evaluated once, then passed
+    # through a one-row generator so that filters on the outcome stay above it.
+    named = status | columns | extra
+    prepared = decoded.select(
+        *ENVELOPE, "v", "decode_error", *[c.alias(n) for n, c in m.shared.items()]
+    ).withColumns(m.derived)
+    computed = prepared.select(*ENVELOPE, *[c.alias(n) for n, c in named.items()])
+    projected = computed.withColumn("outcome", quarantine.outcome()).select(
+        *ENVELOPE, F.inline(F.array(F.struct(*named, "outcome")))
     )
     # Errors stop before origin derivation; only rows to be written are resolved.
-    projected = projected.withColumn("outcome", quarantine.outcome())
     if projection.origin == "pair":
         written = F.col("outcome") == quarantine.WRITTEN
         projected = projected.withColumns(

@@ -64,7 +64,7 @@ def decode_json_events(spark, sf_dir):
     decoded = decode.decode_json(M.broken_json(events(spark, sf_dir)))
     return decoded.groupBy(F.coalesce("decode_error", F.lit("ok")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("messages"),
-        F.sum(V.text(F.col("v"), "id").cast("bigint")).alias("sum_id"),
+        F.sum(V.field(F.col("v"), "id").text.cast("bigint")).alias("sum_id"),
     )
 
 
@@ -526,7 +526,7 @@ def _origins(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 3 == 0, F.lit("")).when(e % 3 != 1, F.lit("region-7")).alias("region_id"),
     )
     block = F.parse_json(F.to_json(origin))
-    edge, region = message_pair(block)
+    edge, region = message_pair(V.field(block))
     return events(spark, sf_dir).select(
         "event_id", F.concat(F.lit("asset-"), "user_id").alias("asset_id"),
         edge.alias("edge"), region.alias("region"),
@@ -558,7 +558,7 @@ def enum_names(spark, sf_dir):
         (e % 4).cast("string")
     )
     f = F.parse_json(raw)
-    name = S.enum_name(f, {1: "ONE", 2: "TWO"}, "NONE")
+    name = S.enum_name(V.field(f), {1: "ONE", 2: "TWO"}, "NONE")
     return events(spark, sf_dir).select("event_id", name.alias("name"))
 
 
@@ -578,9 +578,9 @@ def scalar_times(spark, sf_dir):
     return events(spark, sf_dir).select(
         "event_id",
         TM.epoch_micros(TM.instant(text)).alias("instant_us"),
-        TM.epoch_micros(TM.ns_instant(ns)).alias("ns_us"),
-        TM.epoch_micros(TM.ns_instant_or(ns, as_of())).alias("ns_any_us"),
-        TM.duration_seconds(duration).alias("seconds"),
+        TM.epoch_micros(TM.ns_instant(V.field(ns))).alias("ns_us"),
+        TM.epoch_micros(TM.ns_instant_or(V.field(ns), as_of())).alias("ns_any_us"),
+        TM.duration_seconds(V.field(duration)).alias("seconds"),
     )
 
 
