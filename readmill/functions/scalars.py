@@ -60,13 +60,13 @@ def wgs84(kinematics: Field) -> tuple[Column, Column]:
     """(lat, lon) of a kinematics block; both NULL when one present value is unusable."""
     position = kinematics / "position"
     nested = V.truthy_block(position / "wgs84")
-    lat, lat_bad = _coordinate(position, nested, "latitude", "lat")
-    lon, lon_bad = _coordinate(position, nested, "longitude", "lon")
+    lat, lat_bad = coordinate(position, nested, "latitude", "lat")
+    lon, lon_bad = coordinate(position, nested, "longitude", "lon")
     usable = ~(lat_bad | lon_bad)
     return F.when(usable, lat), F.when(usable, lon)
 
 
-def _coordinate(
+def coordinate(
     position: Field, nested: Column, long_name: str, short_name: str
 ) -> tuple[Column, Column]:
     """Value of a coordinate, and whether it is present but not a number."""

@@ -32,7 +32,12 @@ def instant(value: Column) -> Column:
     """RFC3339 text -> TIMESTAMP; naive text is UTC whatever the session zone."""
     clean = F.replace(value, F.lit(","), F.lit("."))
     timed = F.when(F.length(clean) == 10, F.concat(clean, F.lit("T00:00:00"))).otherwise(clean)
-    zoned = F.when(timed.rlike(_ZONED), timed).otherwise(F.concat(timed, F.lit("Z")))
+    # A zone is only understood after seconds, so '03+02:00' and '03:00Z' are filled up.
+    minutes = F.regexp_replace(timed, r"^(.{10}[T ]\d{2})(?!:)", "$1:00")
+    filled = F.when(timed.rlike(r"^.{10}[T ]\d{2}:\d{2}:"), timed).otherwise(
+        F.regexp_replace(minutes, r"^(.{10}[T ]\d{2}:\d{2})(?!:)", "$1:00")
+    )
+    zoned = F.when(filled.rlike(_ZONED), filled).otherwise(F.concat(filled, F.lit("Z")))
     return F.when(value.rlike(_INSTANT), zoned.try_cast("timestamp"))
 
 
@@ -78,11 +83,6 @@ def ns_out_of_range(f: Field) -> Column:
     return V.unless_settled(short, False, F.coalesce(beyond, F.lit(False)))
 
 
-def ns_instant_or(f: Field, default: Column, n: Column | None = None) -> Column:
-    """Integer nanoseconds of any sign; the default when unusable."""
-    return F.coalesce(_from_ns(f, V.integer(f) if n is None else n), default)
-
-
 def duration_seconds(f: Field) -> Column:
     """'3.5s', '120s', '90' or a number -> whole seconds, truncated."""
     body = F.regexp_replace(f.text, "s$", "")

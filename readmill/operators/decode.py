@@ -146,12 +146,12 @@ def decode_proto_binary(message: str, descriptor_path: str, package: str = "") -
 def proto_json_form(value: Column, kind: T.DataType) -> Column:
     """Rewrite durations inside a message as the '3.5s' text of the JSON form."""
     if isinstance(kind, T.DayTimeIntervalType):
-        micros = F.extract(F.lit("DAY"), value).cast("decimal(20,6)") * 86400
+        full = value.cast("interval day to second")
         seconds = (
-            micros
-            + F.extract(F.lit("HOUR"), value) * 3600
-            + F.extract(F.lit("MINUTE"), value) * 60
-            + F.extract(F.lit("SECOND"), value)
+            F.extract(F.lit("DAY"), full).cast("decimal(20,6)") * 86400
+            + F.extract(F.lit("HOUR"), full) * 3600
+            + F.extract(F.lit("MINUTE"), full) * 60
+            + F.extract(F.lit("SECOND"), full)
         )
         return F.when(value.isNotNull(), F.concat(seconds.cast("double").cast("string"), F.lit("s")))
     if isinstance(kind, T.StructType):

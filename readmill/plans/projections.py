@@ -187,6 +187,19 @@ def _telemetry_latest(m: Message) -> dict[str, Column]:
     }
 
 
+def _position(m: Message) -> tuple[Column, Column]:
+    """As ``wgs84``, with its parts computed once."""
+    block = m.at("kinematics.position")
+    nested = m.once("nested", V.truthy_block(block / "wgs84"))
+    parts = [
+        m.once(f"{name}_{kind}", part, derived=True)
+        for name in ("latitude", "longitude")
+        for kind, part in zip(("value", "bad"), S.coordinate(block, nested, name, name[:3]))
+    ]
+    usable = ~(parts[1] | parts[3])
+    return F.when(usable, parts[0]), F.when(usable, parts[2])
+
+
 def _telemetry_late(m: Message) -> list[tuple[Column, str]]:
     return _objects(provenance="edge_id", operational_state="power_state")(m) + [
         (V.not_object(m.at("kinematics.position"), "lat"), "kinematics.position is not an object")
@@ -347,7 +360,7 @@ _ALL = (
         early_errors=_objects(asset="asset_id"), late_errors=_telemetry_late,
         integers=("schema_revision",),
         origin="pair", origin_block=lambda m: m.at("provenance"),
-        position=lambda m: S.wgs84(m.at("kinematics")),
+        position=_position,
         variants=("kinematics", "sustainment", "provenance"),
     ),
     Projection(
