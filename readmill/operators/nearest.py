@@ -84,14 +84,14 @@ def _closest(level: int) -> Column:
 
 
 def nearest_by_tiles(positions: DataFrame, sites: DataFrame) -> DataFrame:
-    """(_lat, _lon) of ``positions`` -> struct ``_near`` of the nearest site.
+    """(_near_lat, _near_lon) of ``positions`` -> struct ``_near`` of the nearest site.
 
     ``sites`` has ordinal, edge_id, region_id, lat, lon and label. Ties go to the
     lower ordinal. Rows with a missing coordinate get no result.
     """
     points = materialise(
         _with_vectors(
-            positions.select(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
+            positions.select(F.col("_near_lat").alias("lat"), F.col("_near_lon").alias("lon"))
             .filter("lat is not null and lon is not null")
             .distinct()
         ),
@@ -199,6 +199,6 @@ def _closest_of(
     )
     return (
         spread.join(candidates, ["level", *_keys("t")])
-        .groupBy(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+        .groupBy(F.col("lat").alias("_near_lat"), F.col("lon").alias("_near_lon"))
         .agg(best.alias("_near"))
     )
