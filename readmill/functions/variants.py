@@ -9,6 +9,7 @@ type: cutting out nested VARIANTs first would copy them again and again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -22,13 +23,18 @@ _FALSY_TEXTS = ("0", "0.0", "-0.0", "false", "[]", "{}")
 
 @dataclass(frozen=True)
 class Field:
-    """A path inside a VARIANT column; the empty path is the whole value."""
+    """A path inside a VARIANT column; the empty path is the whole value.
+
+    ``share`` may name an expression and hand back a reference to it, so that the text
+    of a scalar is read once however often it is tested.
+    """
 
     root: Column
     path: str = ""
+    share: Callable[[str, Column], Column] | None = None
 
     def __truediv__(self, name: str) -> Field:
-        return Field(self.root, f"{self.path}.{name}")
+        return Field(self.root, f"{self.path}.{name}", self.share)
 
     def get(self, kind: str, below: str = "") -> Column:
         return F.try_variant_get(self.root, f"${self.path}{below}", kind)
@@ -36,7 +42,8 @@ class Field:
     @property
     def text(self) -> Column:
         """String form; NULL for absent and JSON null."""
-        return self.get("string")
+        read = self.get("string")
+        return self.share(f"text{self.path.replace('.', '_')}", read) if self.share else read
 
     @property
     def variant(self) -> Column:

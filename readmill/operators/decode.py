@@ -42,16 +42,23 @@ def decode_json(messages: DataFrame) -> DataFrame:
 def decode_cloudevents(messages: DataFrame) -> DataFrame:
     """JSON objects with a truthy id, source and type."""
     decoded = _decode_object(messages, "CloudEvent envelope is ")
-    v = F.col("v")
+    texts = {a: F.try_variant_get(F.col("v"), f"$.{a}", "string") for a in REQUIRED_ATTRIBUTES}
+    read = decoded.withColumns({f"_{a}": text for a, text in texts.items()})
+
+    def shared(attribute: str) -> V.Field:
+        return V.Field(F.col("v"), f".{attribute}", lambda _, __: F.col(f"_{attribute}"))
+
     missing = F.concat_ws(
-        ", ", *[F.when(~V.truthy(V.field(v, a)), F.lit(a)) for a in REQUIRED_ATTRIBUTES]
+        ", ", *[F.when(~V.truthy(shared(a)), F.lit(a)) for a in REQUIRED_ATTRIBUTES]
     )
+    listed = read.withColumn("_missing", F.when(F.col("v").isNotNull(), missing))
     error = F.when(
-        v.isNotNull() & (missing != ""),
-        F.concat(F.lit("CloudEvent missing required attribute(s): "), missing),
+        F.col("_missing") != "",
+        F.concat(F.lit("CloudEvent missing required attribute(s): "), F.col("_missing")),
     )
-    good = F.when(error.isNull(), v)
-    return _once(decoded, good, F.coalesce(F.col("decode_error"), error))
+    good = F.when(F.col("_missing") == "", F.col("v"))
+    checked = _once(listed, good, F.coalesce(F.col("decode_error"), error))
+    return checked.drop("_missing", *[f"_{a}" for a in REQUIRED_ATTRIBUTES])
 
 
 def _once(df: DataFrame, v: Column, error: Column) -> DataFrame:

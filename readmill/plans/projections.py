@@ -35,22 +35,27 @@ class Message:
     key: Column
     as_of: Column
     enums: Mapping[str, Mapping[int, str]]
-    shared: dict[str, Column] = field(default_factory=dict)
-    derived: dict[str, Column] = field(default_factory=dict)
+    # Columns computed before the projection, by level: texts, values, values of values.
+    shared: tuple[dict[str, Column], ...] = field(default_factory=lambda: ({}, {}, {}))
 
-    def once(self, name: str, value: Column, derived: bool = False) -> Column:
-        """A value computed once, below the projection, and used several times.
-
-        A ``derived`` one may use the others.
-        """
-        (self.derived if derived else self.shared)[f"_{name}"] = value
+    def once(self, name: str, value: Column, level: int = 1) -> Column:
+        """A value computed once and used several times; it may use lower levels."""
+        self.shared[level][f"_{name}"] = value
         return F.col(f"_{name}")
 
+    def read_once(self, name: str, value: Column) -> Column:
+        return self.once(name, value, level=0)
+
     def ns_seconds(self, path: str) -> Column:
         n = self.once(path, V.integer(self.at(path)))
-        return self.once(f"{path}_seconds", TM.ns_seconds(self.at(path), n), derived=True)
+        return self.once(f"{path}_seconds", TM.ns_seconds(self.at(path), n), level=2)
 
     def at(self, path: str = "") -> V.Field:
+        """A scalar, or the way to scalars: their texts are read once."""
+        return V.Field(self.v, f".{path}" if path else "", self.read_once)
+
+    def block(self, path: str) -> V.Field:
+        """An object or array: nothing is read before it is needed."""
         return V.field(self.v, path)
 
     def text(self, path: str) -> Column:
@@ -94,7 +99,7 @@ class Projection:
 def _objects(**usual: str) -> Check:
     """Blocks that must be objects, each with an entry it usually has."""
     return lambda m: [
-        (V.not_object(m.at(p), entry), f"{p} is not an object") for p, entry in usual.items()
+        (V.not_object(m.block(p), entry), f"{p} is not an object") for p, entry in usual.items()
     ]
 
 
@@ -119,10 +124,10 @@ def _cm_state(m: Message) -> dict[str, Column]:
         "last_alerted_status": S.enum_name(m.at("last_alerted_status"), status, None),
         "as_of": TM.positive_instant(m.ns_seconds("as_of_ns")),
         "last_observed_at": TM.positive_instant(m.ns_seconds("last_observed_at_ns")),
-        "installed": V.or_default(m.at("installed"), "[]"),
-        "mod_status": V.or_default(m.at("mod_status"), "[]"),
-        "discrepancies": V.or_default(m.at("discrepancies"), "[]"),
-        "manual_discrepancies": V.or_default(m.at("manual_discrepancies"), "[]"),
+        "installed": V.or_default(m.block("installed"), "[]"),
+        "mod_status": V.or_default(m.block("mod_status"), "[]"),
+        "discrepancies": V.or_default(m.block("discrepancies"), "[]"),
+        "manual_discrepancies": V.or_default(m.block("manual_discrepancies"), "[]"),
         "updated_at": m.as_of,
     }
 
@@ -138,7 +143,7 @@ def _logistics_status(m: Message) -> dict[str, Column]:
             m.at("status.overall_severity").variant.isNull(), "LOGISTICS_SEVERITY_UNSPECIFIED"
         ).otherwise(m.text("status.overall_severity")),
         "previous_severity": m.text("previous_severity"),
-        "constraining_factors": V.or_default(m.at("status.constraining_factors"), "[]"),
+        "constraining_factors": V.or_default(m.block("status.constraining_factors"), "[]"),
         "projected_mission_capable_remaining_seconds": TM.duration_seconds(
             m.at("status.projected_mission_capable_remaining")
         ),
@@ -173,9 +178,9 @@ def _telemetry_latest(m: Message) -> dict[str, Column]:
         "platform_variant": m.text("asset.platform_variant"),
         "callsign": m.text("asset.callsign"),
         "force_id": m.text("asset.force"),
-        "kinematics": m.at("kinematics").variant,
-        "sustainment": m.at("sustainment").variant,
-        "provenance": V.or_falsy(m.at("provenance"), "{}"),
+        "kinematics": m.block("kinematics").variant,
+        "sustainment": m.block("sustainment").variant,
+        "provenance": V.or_falsy(m.block("provenance"), "{}"),
         "last_sample_at": TM.instant_field(m.at("provenance.sample_time")),
         "schema_revision": S.count_or_zero(m.at("schema_revision")),
         "power_state": m.text(state + "power_state"),
@@ -189,10 +194,10 @@ def _telemetry_latest(m: Message) -> dict[str, Column]:
 
 def _position(m: Message) -> tuple[Column, Column]:
     """As ``wgs84``, with its parts computed once."""
-    block = m.at("kinematics.position")
+    block = m.block("kinematics.position")
     nested = m.once("nested", V.truthy_block(block / "wgs84"))
     parts = [
-        m.once(f"{name}_{kind}", part, derived=True)
+        m.once(f"{name}_{kind}", part, level=2)
         for name in ("latitude", "longitude")
         for kind, part in zip(("value", "bad"), S.coordinate(block, nested, name, name[:3]))
     ]
@@ -202,16 +207,16 @@ def _position(m: Message) -> tuple[Column, Column]:
 
 def _telemetry_late(m: Message) -> list[tuple[Column, str]]:
     return _objects(provenance="edge_id", operational_state="power_state")(m) + [
-        (V.not_object(m.at("kinematics.position"), "lat"), "kinematics.position is not an object")
+        (V.not_object(m.block("kinematics.position"), "lat"), "kinematics.position is not an object")
     ]
 
 
 def _telemetry_windows(m: Message) -> dict[str, Column]:
     return {
         "platform_variant": m.text("platform_variant"),
-        "fluid_trends": V.or_default(m.at("fluid_trends"), "[]"),
-        "consumable_trends": V.or_default(m.at("consumable_trends"), "[]"),
-        "component_wear_trends": V.or_default(m.at("wear_trends"), "[]"),
+        "fluid_trends": V.or_default(m.block("fluid_trends"), "[]"),
+        "consumable_trends": V.or_default(m.block("consumable_trends"), "[]"),
+        "component_wear_trends": V.or_default(m.block("wear_trends"), "[]"),
         "window_duration_seconds": _window_duration(m, TM.duration_seconds),
         "sample_count": V.integer(m.at("window.sample_count")),
         "computed_at": TM.instant_field(m.at("computed_at")),
@@ -238,7 +243,7 @@ def _windows_late(m: Message) -> list[tuple[Column, str]]:
 
 def _capability_state(m: Message) -> dict[str, Column]:
     return {
-        "capabilities": V.or_default(m.at("capabilities"), "[]"),
+        "capabilities": V.or_default(m.block("capabilities"), "[]"),
         "schema_version": m.text("schema_version"),
         "mode": m.text("mode"),
         "observed_at": TM.instant_field(m.at("observed_at")),
@@ -250,8 +255,8 @@ def _element_telemetry(m: Message) -> dict[str, Column]:
     return {
         "platform_variant": F.coalesce(V.truthy_text(m.at("platform_variant")), F.lit("")),
         "profile_name": F.coalesce(V.truthy_text(m.at("profile_name")), F.lit("")),
-        "elements": V.or_falsy(m.at("elements"), "[]"),
-        "operational": V.or_falsy(m.at("operational"), "{}"),
+        "elements": V.or_falsy(m.block("elements"), "[]"),
+        "operational": V.or_falsy(m.block("operational"), "{}"),
         "observed_at": F.coalesce(TM.seconds_instant(m.ns_seconds("observed_at_ns")), m.as_of),
         "updated_at": m.as_of,
     }
@@ -296,7 +301,7 @@ def _tactical_events(m: Message) -> dict[str, Column]:
         "subject": F.coalesce(V.truthy_text(m.at("subject")), m.key, F.lit("")),
         "severity": S.severity(m.at()),
         "time": TM.instant_field(m.at("time")),
-        "data": V.or_default(m.at("data"), "{}"),
+        "data": V.or_default(m.block("data"), "{}"),
         "ingested_at": m.as_of,
     }
 
@@ -318,7 +323,7 @@ def _fleet_summary(m: Message) -> dict[str, Column]:
 
 def _region_list(name: str) -> Callable[[Message], dict[str, Column]]:
     return lambda m: {
-        name: V.or_falsy(m.at(name), "[]"),
+        name: V.or_falsy(m.block(name), "[]"),
         "observed_at": TM.instant_field(m.at("observed_at")),
         "updated_at": m.as_of,
     }
@@ -399,7 +404,7 @@ _ALL = (
         table="asset_element_telemetry", decode_as="json", mode="upsert",
         keys=("asset_id",), columns=_element_telemetry,
         skip=lambda m: m.id_or_key("asset_id").isNull()
-        | V.not_array(m.at("elements")),
+        | V.not_array(m.block("elements")),
         origin="pair", asset_ttl_hours=24, variants=("elements", "operational"),
     ),
     Projection(
@@ -457,7 +462,7 @@ def project(
     m = Message(
         F.col("v"), F.col("_key"), F.current_timestamp() if as_of is None else as_of, enums or {}
     )
-    m.once("key", key_text)
+    m.read_once("key", key_text)
     skip = F.coalesce(projection.skip(m), F.lit(False))
     early = _first_error(projection.early_errors(m))
     wrong = [(V.bad_integer(m.at(p)), f"{p} is not a whole number") for p in projection.integers]
@@ -503,8 +508,10 @@ def project(
     # through a one-row generator so that filters on the outcome stay above it.
     named = status | columns | extra
     prepared = decoded.select(
-        *ENVELOPE, "v", "decode_error", *[c.alias(n) for n, c in m.shared.items()]
-    ).withColumns(m.derived)
+        *ENVELOPE, "v", "decode_error", *[c.alias(n) for n, c in m.shared[0].items()]
+    )
+    for level in m.shared[1:]:
+        prepared = prepared.withColumns(level)
     computed = prepared.select(*ENVELOPE, *[c.alias(n) for n, c in named.items()])
     projected = computed.withColumn("outcome", quarantine.outcome()).select(
         *ENVELOPE, F.inline(F.array(F.struct(*named, "outcome")))
