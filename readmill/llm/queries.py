@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from readmill.llm.mixture import mixture_table
+from readmill.llm.packing import pack_documents
 from readmill.llm.sharding import shard_table
+from readmill.llm.token_counts import count_tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_documents(spark, sf_dir))
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_table(_documents(spark, sf_dir))
 
@@ -23,6 +33,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
     "op10_sharding": op10_sharding,
 }
