@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a slice on average; a slice is sorted by one task.
-ROWS_PER_SLICE = 20_000
+ROWS_PER_SLICE = 4_096
 
 
 def unit_number(digest: Column) -> Column:

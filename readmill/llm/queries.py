@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
+from readmill.llm.secret_scan import scan_documents
 from readmill.llm.sharding import shard_table
 from readmill.llm.token_counts import count_tokens
 
@@ -20,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(_documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir))
 
@@ -34,6 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_secret_scan": op3_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
     "op10_sharding": op10_sharding,
