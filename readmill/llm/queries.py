@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readmill.llm.merkle import fingerprint_documents
 from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
 from readmill.llm.secret_scan import scan_documents
@@ -33,6 +34,10 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_table(_documents(spark, sf_dir))
 
 
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_documents(spark, sf_dir))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(_documents(spark, sf_dir))
 
@@ -42,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
+    "op7_merkle": op7_merkle,
     "op10_sharding": op10_sharding,
 }
 
@@ -79,5 +85,34 @@ SELECT doc_id, size, source_size, target,
        CAST(CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
             + least(greatest(budget % source_size - before, 0), size) END AS BIGINT) AS taken
 FROM p
+""",
+    "op7_merkle": r"""
+WITH n AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS t2
+  FROM documents WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, coalesce(text, ''))
+), e AS (
+  SELECT *, substr(t, 1, n - n // 3) || substr(t2, 1, n // 3) AS t1 FROM n
+), m AS (
+  SELECT *,
+    list_transform(string_split(t, chr(10)), lambda l: list_transform(regexp_extract_all(l, '[^.!?]{1,160}[.!?]{0,16}|[.!?]{1,16}'), lambda p: md5(p))) AS h,
+    list_transform(string_split(t1, chr(10)), lambda l: list_transform(regexp_extract_all(l, '[^.!?]{1,160}[.!?]{0,16}|[.!?]{1,16}'), lambda p: md5(p))) AS h1,
+    list_transform(string_split(t2, chr(10)), lambda l: list_transform(regexp_extract_all(l, '[^.!?]{1,160}[.!?]{0,16}|[.!?]{1,16}'), lambda p: md5(p))) AS h2
+  FROM e
+), f AS (
+  SELECT doc_id, n, sha256(t1) AS edited_sha256, t = t1 AS same1, t = t2 AS same2,
+    sha256(array_to_string(list_transform(h, lambda s: md5(coalesce(array_to_string(s, '.'), ''))), ';')) || '|' ||
+      array_to_string(list_transform(h, lambda s: substr(md5(coalesce(array_to_string(s, '.'), '')), 1, 12) || '=' || coalesce(array_to_string(list_transform(s, lambda x: substr(x, 1, 12)), '.'), '')), ';') AS fingerprint,
+    sha256(array_to_string(list_transform(h1, lambda s: md5(coalesce(array_to_string(s, '.'), ''))), ';')) || '|' ||
+      array_to_string(list_transform(h1, lambda s: substr(md5(coalesce(array_to_string(s, '.'), '')), 1, 12) || '=' || coalesce(array_to_string(list_transform(s, lambda x: substr(x, 1, 12)), '.'), '')), ';') AS edited_fingerprint,
+    list_distinct(list_transform(flatten(h), lambda x: substr(x, 1, 12))) AS a,
+    list_distinct(list_transform(flatten(h1), lambda x: substr(x, 1, 12))) AS a1,
+    list_distinct(list_transform(flatten(h2), lambda x: substr(x, 1, 12))) AS a2
+  FROM m
+)
+SELECT doc_id, n AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  CASE WHEN same1 THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a, a1)))::DOUBLE / greatest(len(a) + len(a1), 1) END AS near_edited,
+  CASE WHEN same2 THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a, a2)))::DOUBLE / greatest(len(a) + len(a2), 1) END AS near_next
+FROM f
 """,
 }
