@@ -1,0 +1,192 @@
+"""Line dedup by winnowing over line hashes.
+
+Texts are lines; lines are compared by a hash of what is left when white space around them is
+removed, and empty lines are passed over. A *window* is the shortest run of lines from one
+line on that holds at least ``MIN_WORDS`` words. Each window selects the least line hash in it as
+its fingerprint; neighbouring windows mostly select the same one, so that fingerprints are
+sparse, and yet no repeated run of ``MIN_WORDS`` words is without a common one.
+
+Fingerprints that occur once end there. Those that occur more often are joined with their
+positions, and each position is extended both ways to the windows that selected it. A
+window that stood earlier, by (doc_id, line), is a repetition; touching and overlapping
+repetitions are one run, and its lines are deleted. Every line's first occurrence stays,
+and so does every line that is in no repeated run of ``MIN_WORDS`` words: licence lines and
+short refrains are left alone.
+
+No group is gathered: a fingerprint or a window, however frequent, is counted and its first
+position found by aggregates that combine on the map side, and joined back.
+
+Everything is built-in functions. A NULL or empty text has no line and stays. Rows that share
+``doc_id`` and text count as one document and are treated alike. A row without ``doc_id``
+comes last. Lines of any length and texts of any number of lines are compared whole. An
+empty table gives an empty result. Other columns pass through, whatever their names, except
+those that begin with an underscore.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from readmill.session import materialise
+
+MIN_WORDS = 50
+#: White space is what Unicode's White_Space is in ASCII.
+EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _lines(text: Column) -> Column:
+    """(at, hash, words) of the lines that have words."""
+    lines = F.transform(
+        F.split(text, "\n", -1),
+        lambda line, i: F.struct(
+            i.alias("at"),
+            F.xxhash64(F.regexp_replace(line, EDGE, "")).alias("hash"),
+            F.regexp_count(line, F.lit(WORD)).alias("words"),
+        ),
+    )
+    return F.filter(lines, lambda x: x["words"] > 0)
+
+
+def _windows(min_words: int) -> Column:
+    """(first, last, hash, mark) of the window from each line of ``lines`` on.
+
+    ``first`` and ``last`` are line numbers, ``mark`` the least line hash. A window has at most
+    ``min_words`` lines, as each has a word. At the end of the text a window may hold too few
+    words; it is none then.
+    """
+
+    def grow(i: Column) -> Column:
+        reach = F.slice(F.col("lines"), i + 1, F.lit(min_words))
+        start = F.struct(
+            F.lit(0).alias("words"),
+            F.lit(None).cast("int").alias("last"),
+            F.lit(0).cast("long").alias("hash"),
+            F.lit(None).cast("long").alias("mark"),
+        )
+        step = lambda w, line: F.when(w["words"] >= min_words, w).otherwise(
+            F.struct(
+                (w["words"] + line["words"]).alias("words"),
+                line["at"].alias("last"),
+                F.xxhash64(w["hash"], line["hash"]).alias("hash"),
+                F.least(w["mark"], line["hash"]).alias("mark"),
+            )
+        )
+        return F.aggregate(reach, start, step)
+
+    count = F.size("lines")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    windows = F.transform(
+        numbers,
+        lambda i: F.transform(
+            F.array(grow(i)),
+            lambda w: F.struct(
+                F.element_at("lines", i + 1)["at"].alias("first"), w["last"].alias("last"),
+                w["hash"].alias("hash"), w["mark"].alias("mark"), w["words"].alias("words"),
+            ),
+        )[0],
+    )
+    return F.filter(windows, lambda w: w["words"] >= min_words)
+
+
+def _selected(docs: DataFrame, min_words: int) -> DataFrame:
+    """A row per selected fingerprint of a text: mark, doc_id, text hash, the windows that selected it."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), _lines(text).alias("lines"))
+    windows = lines.select("doc_id", "text_hash", _windows(min_words).alias("windows"))
+    marks = F.array_distinct(F.transform("windows", lambda w: w["mark"]))
+    each = windows.select("doc_id", "text_hash", "windows", F.explode(marks).alias("mark"))
+    own = F.filter("windows", lambda w: w["mark"] == F.col("mark"))
+    return each.select(
+        "doc_id",
+        "text_hash",
+        "mark",
+        F.transform(own, lambda w: F.struct(w["first"].alias("first"), w["last"].alias("last"), w["hash"].alias("hash"))).alias(
+            "windows"
+        ),
+    )
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text_hash and the runs (first, last line) that repeat earlier ones, sorted and merged."""
+    selected = materialise(_selected(docs, min_words), "line-marks")
+    # A mark that one window alone selected cannot repeat.
+    frequent = (
+        selected.groupBy("mark").agg(F.sum(F.size("windows")).alias("n")).where("n > 1").select("mark")
+    )
+    windows = selected.join(frequent, "mark").select("doc_id", "text_hash", F.explode("windows").alias("w"))
+    windows = windows.select("doc_id", "text_hash", "w.first", "w.last", "w.hash")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first")
+    firsts = windows.groupBy("hash").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1")
+    later = windows.join(firsts.drop("n"), "hash").where(~place.eqNullSafe(F.col("origin")))
+    runs = later.groupBy("doc_id", "text_hash").agg(
+        F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")
+    )
+    # A text's repeated windows are at most its lines, so a row here is bounded by its text.
+    return runs.withColumn("runs", _merged(F.col("runs")))
+
+
+def _merged(runs: Column) -> Column:
+    """Sorted runs with those that touch or overlap joined."""
+    kind = "array<struct<first:int,last:int>>"
+    joined = F.aggregate(
+        runs,
+        F.struct(
+            F.array().cast(kind).alias("done"),
+            F.lit(None).cast("int").alias("first"),
+            F.lit(None).cast("int").alias("last"),
+        ),
+        lambda a, r: F.when(a["first"].isNull(), F.struct(a["done"].alias("done"), r["first"].alias("first"), r["last"].alias("last")))
+        .when(
+            r["first"] <= a["last"] + 1,
+            F.struct(a["done"].alias("done"), a["first"].alias("first"), F.greatest(a["last"], r["last"]).alias("last")),
+        )
+        .otherwise(
+            F.struct(
+                F.concat(a["done"], F.array(F.struct(a["first"].alias("first"), a["last"].alias("last")))).alias("done"),
+                r["first"].alias("first"),
+                r["last"].alias("last"),
+            )
+        ),
+        lambda a: F.when(
+            a["first"].isNotNull(), F.concat(a["done"], F.array(F.struct(a["first"].alias("first"), a["last"].alias("last"))))
+        ).otherwise(a["done"]),
+    )
+    return joined
+
+
+def _without(text: Column, runs: Column) -> Column:
+    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.exists(runs, lambda r: (i >= r["first"]) & (i <= r["last"])))
+    return F.array_join(kept, "\n")
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with ``clean_text`` and ``runs`` (NULL where nothing is deleted)."""
+    found = repeated_lines(docs, min_words).select(
+        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "runs"
+    )
+    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = keyed.join(
+        found, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")), "left"
+    )
+    clean = F.when(F.col("runs").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("runs")))
+    return joined.withColumn("clean_text", clean).drop("_doc_id", "_text_hash", "_hash")
+
+
+def dedup_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Every document: how many lines it has and loses, and which.
+
+    ``deleted`` lists the runs as first-last line numbers from 0; ``clean_text`` is what is left.
+    """
+    done = dedup_lines(docs.select("doc_id", "text"), min_words)
+    count = lambda text: F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("long")
+    runs = F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>"))
+    return done.select(
+        "doc_id",
+        count(F.col("text")).alias("n_lines"),
+        F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1).alias("n_deleted"),
+        F.array_join(F.transform(runs, lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",").alias("deleted"),
+        F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"),
+        "clean_text",
+    )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readmill.llm.line_dedup import dedup_documents
 from readmill.llm.merkle import fingerprint_documents
 from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
@@ -38,6 +39,10 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(_documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_documents(_documents(spark, sf_dir))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(_documents(spark, sf_dir))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
     "op7_merkle": op7_merkle,
+    "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
 
