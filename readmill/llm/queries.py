@@ -12,6 +12,7 @@ from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
 from readmill.llm.secret_scan import scan_documents
 from readmill.llm.sharding import shard_table
+from readmill.llm.superminhash import near_duplicates
 from readmill.llm.token_counts import count_tokens
 
 
@@ -27,6 +28,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(_documents(spark, sf_dir))
 
 
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir), words=3, percent=85)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir))
 
@@ -50,6 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_secret_scan": op3_secret_scan,
+    "op4_superminhash": op4_superminhash,
     "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
     "op7_merkle": op7_merkle,
