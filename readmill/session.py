@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -39,3 +40,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver did.
+
+    Where that folder is not on the executors, install the library there or pass it with ``--py-files``.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
