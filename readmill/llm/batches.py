@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from readmill.session import ship_library
+
 #: Rows of one Arrow batch, so that a batch of long texts still fits a worker.
 BATCH_ROWS = 1_000
 #: Characters handled at once within a batch; a single longer text is handled alone.
@@ -15,6 +17,7 @@ BATCH_CHARS = 4_000_000
 
 def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
     """``mapInArrow`` over small batches."""
+    ship_library(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(task, schema)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from readmill.llm.batches import map_arrow, slices
 from readmill.llm.pretokens import WordIds
-from readmill.session import materialise
+from readmill.session import materialise, ship_library
 
 TOKENIZER = "word_bpe_49k.json"
 TOKENS = 2048
@@ -141,6 +141,7 @@ def pack(
         place, offset = best_fit(rows["length"].to_numpy(), tokens, documents, attention, weights, rule)
         return rows.assign(sequence_id=place + (int(key[0]) << 32), offset=offset).drop(columns="_group")
 
+    ship_library(pieces.sparkSession)
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return dealt.groupBy("_group").applyInPandas(task, f"{fields}, sequence_id long, offset long")

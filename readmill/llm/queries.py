@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readmill.llm.crosspolytope import near_vectors
 from readmill.llm.line_dedup import dedup_documents
 from readmill.llm.merkle import fingerprint_documents
 from readmill.llm.mixture import mixture_table
@@ -44,6 +45,10 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(_documents(spark, sf_dir))
 
 
+def op8_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_documents(_documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_mixture": op6_mixture,
     "op7_merkle": op7_merkle,
+    "op8_crosspolytope": op8_crosspolytope,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
