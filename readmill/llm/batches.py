@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -31,3 +32,37 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch,
         if held > BATCH_CHARS or i + 1 == len(texts):
             yield batch.slice(start, i + 1 - start), [t or "" for t in texts[start : i + 1]]
             start, held = i + 1, 0
+
+
+def groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of each group of a partition that is sorted by integer ``columns``."""
+    key, parts = None, []
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in columns], axis=1)
+        ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        cuts = [0, *ends.tolist(), len(keys)]
+        for begin, end in zip(cuts, cuts[1:]):
+            if end == begin:
+                continue
+            now = tuple(keys[begin].tolist())
+            if now != key and parts:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = now
+            parts.append(batch.slice(begin, end - begin))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the least node it reaches over the pairs (a, b)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

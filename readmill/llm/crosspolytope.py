@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readmill.llm.batches import map_arrow
+from readmill.llm.batches import groups, map_arrow, roots
 from readmill.llm.components import components
 from readmill.session import materialise
 
@@ -117,20 +117,6 @@ def _visits(classes: DataFrame, hashes: int, tables: int, probes: int) -> DataFr
     return map_arrow(classes.select("cid", "embedding"), task, "cid long, names array<int>")
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the least node it reaches over the pairs."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Cosines of rows x[i], y[i], each from its own sums."""
     return (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
@@ -169,7 +155,7 @@ def _group_links(rows: dict, table: int, name: int, width: int, cosine: float):
     # Edges lead to the least class, so nodes are numbered in the order of cid.
     rank = np.argsort(np.argsort(rows["cid"], kind="stable"), kind="stable")
     back = np.argsort(rank)
-    root = back[_roots(n, rank[a], rank[b])][rank]
+    root = back[roots(n, rank[a], rank[b])][rank]
     linked = np.flatnonzero(links)
     return rows["cid"][linked], links[linked].astype(np.int64), rows["cid"][root[linked]]
 
@@ -193,8 +179,7 @@ def _linked(classes: DataFrame, visits: DataFrame, probes: int, cosine: float, b
     group = ["table", "name", "i", "j"]
     sorted_rows = full.repartition(*[F.col(c) for c in group]).sortWithinPartitions(*group)
 
-    def settle(key, parts):
-        table = pa.Table.from_batches(parts)
+    def settle(key, table):
         vectors = table.column("embedding").to_pylist()
         lengths = np.array([len(v) for v in vectors])
         for d in np.unique(lengths):
@@ -211,21 +196,8 @@ def _linked(classes: DataFrame, visits: DataFrame, probes: int, cosine: float, b
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["cid", "links", "root"])
 
     def task(batches):
-        key, parts = None, []
-        for batch in batches:
-            columns = np.stack([batch.column(c).to_numpy() for c in group], axis=1)
-            cuts = [0, *(np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1).tolist(), len(columns)]
-            for begin, end in zip(cuts, cuts[1:]):
-                if end == begin:
-                    continue
-                now = tuple(columns[begin].tolist())
-                if now != key and parts:
-                    yield from settle(key, parts)
-                    parts = []
-                key = now
-                parts.append(batch.slice(begin, end - begin))
-        if parts:
-            yield from settle(key, parts)
+        for key, rows in groups(batches, group):
+            yield from settle(key, rows)
 
     return map_arrow(sorted_rows, task, "cid long, links long, root long")
 

@@ -10,11 +10,12 @@ Signatures are cut into bands. Sets that agree in a band are candidates; candida
 verified on their full sets, and verified links are grouped by union-find (components).
 
 * Equal sets are one class and are linked by that; only classes go through the bands.
-* A bucket of many classes is not turned into all its pairs. Each round tests a few centres
-  of each bucket against its other classes, and only against those that are not in the same
-  component yet; groups of near copies collapse in the first round. Rounds go on, with
-  twice as many centres each, until no two classes of one bucket are left untested in
-  different components, so that no link between candidates is lost.
+* A bucket of many classes is not turned into all its pairs. First each bucket's least class is
+  tested against the others, which settles most buckets: all of their classes are in one
+  component then. The others are cut into blocks of ``BLOCK`` classes. A task gets two blocks, counts what
+  all their sets have in common by matrix products, and returns for each class that is linked
+  one edge to the least class it reaches there. A pair counts in the first band it shares
+  only. So no link between candidates is lost, and none of their pairs become rows.
 * ``banding`` chooses the bands so that a pair at the threshold shares none with a probability
   of at most ``MISS``; pairs above it are missed still more rarely.
 """
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readmill.llm.batches import map_arrow, slices
+from readmill.llm.batches import groups, map_arrow, roots, slices
 from readmill.llm.components import components
 from readmill.session import materialise
 
@@ -204,17 +205,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(f"100L * c >= {percent}L * (n - c)").select("a", "b")
 
 
-#: A bucket with at most so many classes left is settled in one round.
-SMALL_BUCKET = 16
+#: Classes of a bucket that meet in one block.
+BLOCK = 512
+#: Elements that one matrix product counts.
+_COLUMNS = 8_192
 
 
 def _buckets(sketches: DataFrame) -> DataFrame:
-    """key, node, n and order (a number in [0, 1) by which a bucket's classes become centres)."""
-    exploded = sketches.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    members = exploded.groupBy("key", "node").agg(F.first("n").alias("n"))
-    shared = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    order = (F.shiftrightunsigned(F.xxhash64("key", "node"), 11)).cast("double") / float(1 << 53)
-    return members.join(shared, "key").withColumn("order", order)
+    """band, key, node and n of the classes that share a band with another class."""
+    exploded = sketches.select("node", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
+    members = exploded.groupBy("band", "key", "node").agg(F.first("n").alias("n"))
+    shared = members.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1").select("band", "key")
+    return members.join(shared, ["band", "key"])
 
 
 def _class_sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -225,40 +227,120 @@ def _class_sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: i
     return _sets(texts, words).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def linked_classes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left has in common with each on the right."""
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def placed(sets):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        element = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, element), max(len(shared) - 1, 0))
+        found = shared[at] == element if len(shared) else np.zeros(len(element), dtype=bool)
+        return row[found], at[found]
+
+    (row_l, at_l), (row_r, at_r) = placed(left), placed(right)
+    for begin in range(0, len(shared), _COLUMNS):
+        parts = []
+        for row, at, n in ((row_l, at_l, len(left)), (row_r, at_r, len(right))):
+            own = (at >= begin) & (at < begin + _COLUMNS)
+            part = np.zeros((n, min(_COLUMNS, len(shared) - begin)), dtype=np.float32)
+            part[row[own], at[own] - begin] = 1
+            parts.append(part)
+        counts += parts[0] @ parts[1].T
+    return counts
+
+
+def _block_links(rows: pa.Table, band: int, percent: int):
+    """(node, root) of the classes of two blocks that are linked to a class of another component there."""
+    side = rows.column("side").to_numpy()
+    one, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    left, right = one, other if len(other) else one
+    if not len(left) or len(rows) < 2:
+        return None
+    names = rows.column("node").to_pylist()
+    label = np.unique(rows.column("label").to_pylist(), return_inverse=True)[1]
+    size = rows.column("n").to_numpy().astype(np.int64)
+    bands = np.array(rows.column("bands").to_pylist(), dtype=np.int64)
+    small, large = np.minimum.outer(size[left], size[right]), np.maximum.outer(size[left], size[right])
+    wanted = (label[left][:, None] != label[right][None, :]) & (100 * small >= percent * large)
+    for earlier in range(band):
+        wanted &= bands[left, earlier][:, None] != bands[right, earlier][None, :]
+    if not len(other):
+        wanted = np.triu(wanted, 1)
+    rows_l, rows_r = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+    if not len(rows_l):
+        return None
+    sets = rows.column("elements").combine_chunks()
+    cuts = np.concatenate(([0], np.cumsum(sets.value_lengths().to_numpy())))
+    flat = sets.flatten().to_numpy()
+    own = lambda i: flat[cuts[i] : cuts[i + 1]]
+    common = common_counts([own(i) for i in left[rows_l]], [own(i) for i in right[rows_r]]).astype(np.int64)
+    union = np.add.outer(size[left[rows_l]], size[right[rows_r]]) - common
+    a, b = np.nonzero(wanted[np.ix_(rows_l, rows_r)] & (100 * common >= percent * union))
+    if not len(a):
+        return None
+    a, b = left[rows_l[a]], right[rows_r[b]]
+    root = roots(len(names), a, b)
+    linked = np.unique(np.concatenate((a, b)))
+    return [names[i] for i in linked], [names[i] for i in root[linked]]
+
+
+def _settled(open_: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Edges (a, b) between classes of the open buckets (band, key, node, label, size)."""
+    blocks = open_.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    placed = blocks.withColumn("own", F.pmod(F.xxhash64("node", "key"), "blocks").cast("int"))
+    dealt = placed.select(
+        "band", "key", "node", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
+    ).select(
+        "band", "key", "node", "label",
+        F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
+        (F.col("own") > F.col("with")).cast("int").alias("side"),
+    )
+    names = open_.select("node").distinct()
+    known = sketches.join(names, "node", "left_semi").groupBy("node").agg(
+        F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+    known = materialise(known.join(sets, "node"), "open-sets")
+    group = ["band", "key", "i", "j"]
+    rows = dealt.join(known, "node").repartition(*[F.col(c) for c in group]).sortWithinPartitions(*group)
+
+    def task(batches):
+        for key, table in groups(batches, group):
+            found = _block_links(table, key[0], percent)
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in found], ["a", "b"])
+
+    return map_arrow(rows, task, "a string, b string")
+
+
+def linked_classes(
+    docs: DataFrame, sketches: DataFrame, words: int, percent: int, block: int = BLOCK
+) -> DataFrame | None:
     """(node, label) for the classes that are linked to another class; None if none are."""
-    left = materialise(_buckets(sketches), "buckets")
-    if left.isEmpty():
+    buckets = materialise(_buckets(sketches), "buckets")
+    if buckets.isEmpty():
         return None
-    sets = materialise(_class_sets(docs, sketches, left.select("node").distinct(), words), "sets")
-    links = labels = None
-    centres = 1
-    while True:
-        if labels is None:
-            named = left.withColumn("label", F.col("node"))
-        else:
-            named = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = named.groupBy("key").agg(
-            F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("m"), F.min("order").alias("from")
-        )
-        share = F.when(F.col("m") <= SMALL_BUCKET, 1.0).otherwise(F.least(F.lit(1.0), F.lit(float(centres)) / F.col("m")))
-        if labels is None:
-            share = F.lit(0.0)  # one centre first: most buckets are settled by it
-        open_ = open_.where("l <> h").select("key", (F.col("from") + share * (1 - F.col("from"))).alias("upto"))
-        named = materialise(named.join(open_, "key"), "open")
-        if named.isEmpty():
-            break
-        centre = named.where("order <= upto").select(
-            "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("order").alias("oa")
-        )
-        near = f"la <> label AND oa < order AND 100 * least(n, na) >= {percent} * greatest(n, na)"
-        pairs = named.join(centre, "key").where(near).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        found = _verified(materialise(pairs.distinct(), "pairs"), sets, percent)
-        links = materialise(found if links is None else links.unionByName(found), "verified")
-        labels = materialise(components(links), "labels")
-        left = named.where("order > upto").select("key", "node", "n", "order")
-        centres *= 2
-    return labels
+    sets = materialise(_class_sets(docs, sketches, buckets.select("node").distinct(), words), "sets")
+    centres = buckets.groupBy("band", "key").agg(F.min(F.struct("node", "n")).alias("c"))
+    near = f"a <> b AND 100 * least(n, c.n) >= {percent} * greatest(n, c.n)"
+    pairs = buckets.join(centres, ["band", "key"]).select(F.col("c.node").alias("a"), F.col("node").alias("b"), "n", "c")
+    pairs = materialise(pairs.where(near).select("a", "b").distinct(), "pairs")
+    links = materialise(_verified(pairs, sets, percent), "verified")
+    labels = materialise(components(links), "labels")
+    named = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = named.groupBy("band", "key").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")
+    )
+    # Of two classes one was the centre: the pair is settled, linked or not.
+    open_ = open_.where("l <> h AND size > 2").select("band", "key", "size")
+    open_ = materialise(named.join(open_, ["band", "key"]), "open")
+    if open_.isEmpty():
+        return labels
+    more = materialise(_settled(open_, sketches, sets, percent, block), "block-links")
+    if more.isEmpty():
+        return labels
+    return materialise(components(links.unionByName(more)), "labels")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
