@@ -15,6 +15,7 @@ the library whole. Results are the library's in every case.
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -27,12 +28,13 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Characters with one lower-case form, one normal form, and the same class everywhere.
-ODD = regex.compile(r"[^\t-\r\x20-\x7e\xa1-\xac\xae-įı-ž‐-‧€]")
-WIDE_GAP = regex.compile(r"\s\s")
+ODD = re.compile(r"[^\t-\r\x20-\x7e\xa1-\xac\xae-įı-ž‐-‧€]")
+WIDE_GAP = re.compile(r"\s\s")
 #: Special tokens of the vocabularies begin like this.
 SPECIAL = "<|"
-#: Entries a worker's cache holds before it starts anew, and the longest entry it takes.
-CACHE_ENTRIES = 300_000
+#: Entries of one generation of a worker's cache, besides those that a single slice of texts needs.
+CACHE_ENTRIES = 250_000
+#: Longest entry of a table of frequent pre-tokens.
 CACHE_CHARS = 48
 
 _tokenizers: dict = {}
@@ -47,32 +49,48 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it is visible."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in visible}
+    hidden = [b for b in range(256) if b not in letters]
+    letters.update({b: chr(256 + i) for i, b in enumerate(hidden)})
+    return [letters[b] for b in range(256)]
+
+
+LETTERS = _byte_letters()
+
+
+def encode_parts(path: str, parts: list[str]) -> list[list[int]]:
+    """Ids of pre-tokens, from the library's model itself."""
+    model = tokenizer(path).model
+    written = LETTERS.__getitem__
+    return [[t.id for t in model.tokenize("".join(map(written, p.encode())))] for p in parts]
+
+
 def encode_all(path: str, texts: list[str]) -> list:
     return [e.ids for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
 
-class Bounded(dict):
-    """A cache: ``fill`` computes what is missing, and makes room before it does."""
+class Bounded:
+    """A cache of two generations: a full one grows old, and what is used from it is kept."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
 
     def fill(self, keys: set, compute) -> dict:
-        """A mapping that holds all ``keys``."""
-        new = keys.difference(self)
-        if not new:
-            return self
-        if len(self) + len(new) > CACHE_ENTRIES:
-            self.clear()
-            new = keys
-        found = compute(list(new))
-        long = [k for k in found if len(k) > CACHE_CHARS]
-        if not long and len(found) <= CACHE_ENTRIES:
-            self.update(found)
-            return self
-        whole = {k: self[k] if k in self else found[k] for k in keys}
-        for k in long:
-            del found[k]
-        if len(found) <= CACHE_ENTRIES:
-            self.update(found)
-        return whole
+        """A mapping that holds all ``keys``; ``compute`` finds what is in neither generation."""
+        missing = keys.difference(self.young)
+        if missing:
+            old = self.old
+            again = {k: old[k] for k in missing if k in old}
+            fresh = compute([k for k in missing if k not in again])
+            if len(self.young) + len(missing) > CACHE_ENTRIES:
+                self.old, self.young = self.young, {k: self.young[k] for k in keys if k in self.young}
+            self.young.update(again)
+            self.young.update(fresh)
+        return self.young
 
 
 class WordIds:
@@ -84,10 +102,18 @@ class WordIds:
         self.parts, self.chunks = Bounded(), Bounded()
 
     def _encode(self, parts: list[str]) -> dict:
-        return {p: np.asarray(i, dtype="<u4").tobytes() for p, i in zip(parts, encode_all(self.path, parts))}
+        return {p: np.asarray(i, dtype="<u4").tobytes() for p, i in zip(parts, encode_parts(self.path, parts))}
+
+    def _split(self, chunk: str) -> list[str]:
+        if chunk.isalpha():
+            return [chunk]
+        word = chunk[:-1]
+        if chunk[-1] in ".,;:!?" and word.isalpha():
+            return [word, chunk[-1]]
+        return self.split(chunk)
 
     def _join(self, chunks: list[str]) -> dict:
-        split = [self.split(c) for c in chunks]
+        split = [self._split(c) for c in chunks]
         known = self.parts.fill(set(chain.from_iterable(split)), self._encode).__getitem__
         return {c: b"".join(map(known, s)) for c, s in zip(chunks, split)}
 
@@ -114,7 +140,7 @@ class ByteCounts:
         self.parts, self.chunks = Bounded(), Bounded()
 
     def _encode(self, parts: list[str]) -> dict:
-        return {p: len(i) for p, i in zip(parts, encode_all(self.path, parts))}
+        return {p: len(i) for p, i in zip(parts, encode_parts(self.path, parts))}
 
     def _sum(self, chunks: list[str]) -> dict:
         split = [self.split(c) for c in chunks]
