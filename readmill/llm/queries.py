@@ -15,6 +15,7 @@ from readmill.llm.secret_scan import scan_documents
 from readmill.llm.sharding import shard_table
 from readmill.llm.superminhash import near_duplicates
 from readmill.llm.token_counts import count_tokens
+from readmill.llm.toxicity import score_documents
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(_documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_superminhash": op4_superminhash,
     "op5_token_counts": op5_token_counts,
