@@ -19,8 +19,8 @@ position found by aggregates that combine on the map side, and joined back.
 Everything is built-in functions. A NULL or empty text has no line and stays. Rows that share
 ``doc_id`` and text count as one document and are treated alike. A row without ``doc_id``
 comes last. Lines of any length and texts of any number of lines are compared whole. An
-empty table gives an empty result. Other columns pass through, whatever their names, except
-those that begin with an underscore.
+empty table gives an empty result. Other columns pass through, except ``runs`` and ``clean_text``, which
+are replaced, and names that begin with an underscore, which are dropped.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from readmill.llm.columns import passed
 from readmill.session import materialise
 
 MIN_WORDS = 50
@@ -166,7 +167,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = repeated_lines(docs, min_words).select(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "runs"
     )
-    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    keyed = passed(docs, ("runs", "clean_text")).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = keyed.join(
         found, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")), "left"
     )

@@ -7,8 +7,8 @@ size repeats whole epochs and cuts the last one. Reruns give the same mix.
 Nulls and odd rows: a NULL source is a source of its own and comes last; a NULL text or
 one without words has size 0 and is never taken; a NULL ``doc_id`` hashes as such;
 repeated rows count each; an empty table gives an empty result. Other columns pass
-through ``mix_documents`` untouched, whatever they are called, except names that start
-with an underscore, which the operator uses.
+through ``mix_documents`` untouched, except names that it makes itself, which are replaced,
+and names that begin with an underscore, which are dropped.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readmill.llm.columns import passed
 from readmill.llm.prefix import running_sum, unit_number
 from readmill.session import materialise
 
@@ -99,7 +100,10 @@ def mix_documents(
     """
     size = word_count(F.col("text")) if size is None else size
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    keyed = docs.withColumn("size", size).withColumn("_key", digest)
+    made = ("size", "source_size", "target", "taken", "source_rows")
+    sized = docs.drop("_size").withColumn("_size", size)
+    keyed = sized.select(*[F.col(f"`{c}`") for c in passed(docs, made).columns], F.col("_size").alias("size"))
+    keyed = keyed.withColumn("_key", digest)
     targets = source_targets(keyed.select("source", "size"), weights, max_epochs)
     budget = F.floor(F.col("target") + 0.5).cast("long")
     targets = targets.select(

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readmill.llm.batches import map_arrow, slices
+from readmill.llm.columns import passed
 from readmill.llm.pretokens import WordIds
 from readmill.session import materialise, ship_library
 
@@ -134,6 +135,7 @@ def pack(
 
     ``pieces`` is counted and then read again: pass a written table.
     """
+    pieces = passed(pieces, ("sequence_id", "offset"))
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def task(key, rows: pd.DataFrame) -> pd.DataFrame:

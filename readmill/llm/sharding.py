@@ -10,7 +10,8 @@ Groups of equal texts are not kept together: a large one would break the law.
 
 Nulls and odd rows: a NULL source is a source of its own and sorts last; a NULL text has
 size 1 and the check sum of the empty text; repeated rows are rows; an empty table gives
-an empty result; extra columns pass through, except names that begin with an underscore.
+an empty result; extra columns pass through, except ``shard`` and ``slot``, which are replaced, and
+names that begin with an underscore, which are dropped.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from readmill.llm.columns import passed
 from readmill.llm.prefix import running_sum, unit_number
 from readmill.session import materialise
 
@@ -32,6 +34,7 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, tie: str
     narrow, materialised table and join wide columns back, or write it first.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    docs = passed(docs, ("shard", "slot"))
     counts = docs.groupBy("source").agg(F.count("*").alias("_rows"))
     total = max(docs.count(), 1)
     keyed = docs.withColumn("_key", digest).withColumn("_unit", unit_number(F.col("_key"))).withColumn("_one", F.lit(1))

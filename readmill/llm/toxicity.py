@@ -247,7 +247,8 @@ def held_out(doc_id: Column) -> Column:
 
 def fit_on(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Fit on the labelled texts that are not held out, a bounded number of them."""
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = docs.select("doc_id", "text")
+    known = labels.select("doc_id", "toxic").where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
     short = docs.where(F.length("text") <= FIT_CHARS).select("doc_id")
     fitting = known.join(short, "doc_id", "left_semi")
