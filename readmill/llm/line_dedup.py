@@ -1,8 +1,8 @@
 """Line dedup by winnowing over line hashes.
 
 Texts are lines; lines are compared by a hash of what is left when white space around them is
-removed, and empty lines are passed over. A *window* is the shortest run of lines from one
-line on that holds at least ``MIN_WORDS`` words. Each window selects the least line hash in it as
+removed, and empty lines are passed over. A *window* is the shortest run of lines, from one
+line on or up to one line, that holds at least ``MIN_WORDS`` words. Each window selects the least line hash in it as
 its fingerprint; neighbouring windows mostly select the same one, so that fingerprints are
 sparse, and yet no repeated run of ``MIN_WORDS`` words is without a common one.
 
@@ -50,40 +50,43 @@ def _lines(text: Column) -> Column:
     return F.filter(lines, lambda x: x["words"] > 0)
 
 
-def _windows(min_words: int) -> Column:
-    """(first, last, hash, mark) of the window from each line of ``lines`` on.
+def _windows(lines: Column, min_words: int, backwards: bool) -> Column:
+    """(first, last, hash, mark) of the window from each line on, or up to each line.
 
     ``first`` and ``last`` are line numbers, ``mark`` the least line hash. A window has at most
     ``min_words`` lines, as each has a word. At the end of the text a window may hold too few
-    words; it is none then.
+    words; it is none then. Both kinds are needed: the last lines of a repeated run are in none of
+    the first kind if they hold too few words, and its first lines in none of the second.
     """
+    lines = F.reverse(lines) if backwards else lines
 
     def grow(i: Column) -> Column:
-        reach = F.slice(F.col("lines"), i + 1, F.lit(min_words))
+        reach = F.slice(lines, i + 1, F.lit(min_words))
         start = F.struct(
             F.lit(0).alias("words"),
-            F.lit(None).cast("int").alias("last"),
-            F.lit(0).cast("long").alias("hash"),
+            F.lit(None).cast("int").alias("end"),
+            F.lit(int(backwards)).cast("long").alias("hash"),
             F.lit(None).cast("long").alias("mark"),
         )
         step = lambda w, line: F.when(w["words"] >= min_words, w).otherwise(
             F.struct(
                 (w["words"] + line["words"]).alias("words"),
-                line["at"].alias("last"),
+                line["at"].alias("end"),
                 F.xxhash64(w["hash"], line["hash"]).alias("hash"),
                 F.least(w["mark"], line["hash"]).alias("mark"),
             )
         )
         return F.aggregate(reach, start, step)
 
-    count = F.size("lines")
+    count = F.size(lines)
     numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     windows = F.transform(
         numbers,
         lambda i: F.transform(
             F.array(grow(i)),
             lambda w: F.struct(
-                F.element_at("lines", i + 1)["at"].alias("first"), w["last"].alias("last"),
+                F.least(F.element_at(lines, i + 1)["at"], w["end"]).alias("first"),
+                F.greatest(F.element_at(lines, i + 1)["at"], w["end"]).alias("last"),
                 w["hash"].alias("hash"), w["mark"].alias("mark"), w["words"].alias("words"),
             ),
         )[0],
@@ -95,7 +98,8 @@ def _selected(docs: DataFrame, min_words: int) -> DataFrame:
     """A row per selected fingerprint of a text: mark, doc_id, text hash, the windows that selected it."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), _lines(text).alias("lines"))
-    windows = lines.select("doc_id", "text_hash", _windows(min_words).alias("windows"))
+    both = F.concat(*[_windows(F.col("lines"), min_words, backwards) for backwards in (False, True)])
+    windows = lines.select("doc_id", "text_hash", both.alias("windows"))
     marks = F.array_distinct(F.transform("windows", lambda w: w["mark"]))
     each = windows.select("doc_id", "text_hash", "windows", F.explode(marks).alias("mark"))
     own = F.filter("windows", lambda w: w["mark"] == F.col("mark"))
