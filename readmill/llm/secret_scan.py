@@ -7,8 +7,9 @@ if that is at least ``MARGIN`` for each pair on average.
 
 Training: the labelled samples are the tokens of a random sample of about ``FIT_ROWS`` documents.
 What a base pattern captured is labelled random, all other tokens are ordinary. Each distinct
-token counts once. Counts start at ``RANDOM_PRIOR`` and ``ORDINARY_PRIOR`` for every pair of characters, so that strings with
-pairs never seen are near what a uniform random string would score.
+token counts once. A random pair falls back on all characters being alike, an ordinary one on
+how frequent its second character is in ordinary tokens. No pair counts for more than ``CLIP``, so that a few odd
+ones, such as the capitals inside a name, do not decide.
 
 Scanning is one pass over the texts, without a shuffle, and runs in built-in functions
 only; the two models travel as one array of 66 x 66 numbers.
@@ -40,10 +41,11 @@ TOKEN = "[A-Za-z0-9+/_-]"
 MIN_TOKEN = 16
 #: Tokens of training texts have at least so many characters.
 MIN_FIT_TOKEN = 4
-MARGIN = 1.5
+MARGIN = 0.75
 FIT_ROWS = 8_000
-RANDOM_PRIOR = 1.0
-ORDINARY_PRIOR = 0.05
+#: Weight of what the models fall back on, in pairs seen.
+RANDOM_PRIOR, ORDINARY_PRIOR = float(len(ALPHABET)), 1.0
+CLIP = (-4.0, 3.0)
 
 
 def _found(text: Column, pattern: str, group: int = 0) -> Column:
@@ -83,12 +85,20 @@ def labelled_tokens(docs: DataFrame) -> DataFrame:
 def fit(tokens: DataFrame) -> list[float]:
     """Log-likelihood ratios by (this, next) character, row by row."""
     n = len(ALPHABET)
-    counts = {True: [[RANDOM_PRIOR] * n for _ in range(n)], False: [[ORDINARY_PRIOR] * n for _ in range(n)]}
+    counts = {random: [[0] * n for _ in range(n)] for random in (True, False)}
     # At most 2 * 66 * 66 rows.
     for r in _pairs(tokens).groupBy("random", "p.a", "p.b").count().collect():
         counts[r["random"]][r["a"] - 1][r["b"] - 1] += r["count"]
-    shares = {k: [[math.log(x / sum(row)) for x in row] for row in rows] for k, rows in counts.items()}
-    return [r - o for random, ordinary in zip(shares[True], shares[False]) for r, o in zip(random, ordinary)]
+    alike = [1 / n] * n
+    second = [sum(row[b] for row in counts[False]) + 0.5 for b in range(n)]
+    usual = [x / sum(second) for x in second]
+
+    def logs(rows, prior, fallback):
+        return [[math.log((x + prior * f) / (sum(row) + prior)) for x, f in zip(row, fallback)] for row in rows]
+
+    chance, names = logs(counts[True], RANDOM_PRIOR, alike), logs(counts[False], ORDINARY_PRIOR, usual)
+    low, high = CLIP
+    return [min(max(c - o, low), high) for a, b in zip(chance, names) for c, o in zip(a, b)]
 
 
 def log_ratio(token: Column, model: list[float]) -> Column:
