@@ -83,12 +83,31 @@ def _closest(level: int) -> Column:
     return _squares(gaps)
 
 
-def nearest_by_tiles(positions: DataFrame, sites: DataFrame) -> DataFrame:
+class SiteIndex:
+    """The side of the sites, worked out once: places and counted cells.
+
+    ``sites`` has ordinal, edge_id, region_id, lat, lon and label.
+    """
+
+    def __init__(self, sites: DataFrame):
+        # At equal coordinates the lowest ordinal always wins, so copies can go.
+        located = sites.filter("lat is not null and lon is not null")
+        self.places = materialise(
+            _with_vectors(
+                located.groupBy("lat", "lon")
+                .agg(F.min(F.struct("ordinal", "edge_id", "region_id", "label")).alias("site"))
+            ),
+            "places",
+        )
+        self.cells = materialise(_count_cells(self.places, SHARED_LEVEL), "cells")
+
+
+def nearest_by_tiles(positions: DataFrame, index: SiteIndex) -> DataFrame:
     """(_near_lat, _near_lon) of ``positions`` -> struct ``_near`` of the nearest site.
 
-    ``sites`` has ordinal, edge_id, region_id, lat, lon and label. Ties go to the
-    lower ordinal. Rows with a missing coordinate get no result.
+    Ties go to the lower ordinal. Rows with a missing coordinate get no result.
     """
+    places, cells = index.places, index.cells
     points = materialise(
         _with_vectors(
             positions.select(F.col("_near_lat").alias("lat"), F.col("_near_lon").alias("lon"))
@@ -97,17 +116,7 @@ def nearest_by_tiles(positions: DataFrame, sites: DataFrame) -> DataFrame:
         ),
         "points",
     )
-    # At equal coordinates the lowest ordinal always wins, so copies can go.
-    located = sites.filter("lat is not null and lon is not null")
-    places = materialise(
-        _with_vectors(
-            located.groupBy("lat", "lon")
-            .agg(F.min(F.struct("ordinal", "edge_id", "region_id", "label")).alias("site"))
-        ),
-        "places",
-    )
     tiles = materialise(points.select(*_cells("t", SHARED_LEVEL)).distinct(), "tiles")
-    cells = materialise(_count_cells(places, SHARED_LEVEL), "cells")
 
     spark = positions.sparkSession
     start = [F.lit(0).cast("int").alias(k) for k in _keys("t") + _keys("c")]

@@ -48,7 +48,7 @@ def pair_or_derive(
     """Struct ``out`` (edge_id, region_id): the message's pair when complete, else derived.
 
     The two sources are never mixed. Rows with a complete pair reach the strategy with
-    NULL inputs, so its joins do nothing for them.
+    NULL inputs, which match nothing and are dealt out evenly in joins.
     """
     complete = F.col(edge).isNotNull() & F.col(region).isNotNull()
     names = ("_for_id", "_for_lat", "_for_lon")
