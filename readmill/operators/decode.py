@@ -123,6 +123,10 @@ def _type_name(body: Column) -> Column:
     )
 
 
+#: Timestamps keep their microseconds.
+PROTO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def decode_proto_binary(message: str, descriptor_path: str, package: str = "") -> Decoder:
     """Protobuf bytes through the ``spark-protobuf`` module.
 
@@ -144,7 +148,7 @@ def decode_proto_binary(message: str, descriptor_path: str, package: str = "") -
         error = F.when(F.col("value").isNull(), F.lit(_TOMBSTONE)).when(
             F.col("_msg").isNull(), F.lit(f"not valid {message}")
         )
-        v = F.when(error.isNull(), F.parse_json(F.to_json(wire_form)))
+        v = F.when(error.isNull(), F.parse_json(F.to_json(wire_form, {"timestampFormat": PROTO_TIMESTAMP})))
         return _once(parsed, v, error).drop("_msg")
 
     return decode

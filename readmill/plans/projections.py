@@ -458,7 +458,10 @@ def project(
 
     Every message keeps one row, so failures can be quarantined from the same pass.
     """
-    key_text = F.coalesce(F.decode(F.col("key"), "utf-8"), F.lit(""))
+    # Keys are text; one that is not is a failure of the message, not of the batch.
+    valid_key = F.try_validate_utf8(F.col("key").cast("string"))
+    bad_key = F.col("key").isNotNull() & valid_key.isNull()
+    key_text = F.coalesce(valid_key, F.lit(""))
     m = Message(
         F.col("v"), F.col("_key"), F.current_timestamp() if as_of is None else as_of, enums or {}
     )
@@ -475,9 +478,9 @@ def project(
         key = projection.keys[0]
         columns = {key: m.id_or_key(_ID_PATHS.get(projection.name, key))} | columns
 
-    has_value = F.col("v").isNotNull()
+    has_value = F.col("v").isNotNull() & ~bad_key
     status = {
-        "decode_error": F.col("decode_error"),
+        "decode_error": F.coalesce(F.col("decode_error"), F.when(bad_key, F.lit("message key is not UTF-8"))),
         "handler_error": F.when(has_value, F.coalesce(early, F.when(~skip, late))),
         "skipped": has_value & early.isNull() & skip,
         "write_error": F.when(has_value, overflow),

@@ -1,8 +1,8 @@
 """Read-model tables on plain files.
 
-Upsert table: ``log/batch_id=N`` holds the rows of batch N; ``base/through=N`` is a
-snapshot of everything up to batch N. The table is the newest finished snapshot with
-the later log batches applied. Writing a batch again replaces exactly its own folder,
+Upsert table: ``log/batch_id=N`` holds the rows of batch N; ``base/through=N.R`` is the R-th
+snapshot of everything up to batch N (a table without traffic is pruned by a further one).
+The table is the newest finished snapshot with the later log batches applied. Writing a batch again replaces exactly its own folder,
 and batches a snapshot already covers are ignored, so replays change nothing.
 
 Event log: ``log/event_date=D/batch_id=N``. A batch is compared with earlier batches
@@ -57,15 +57,22 @@ class UpsertTable:
     def _log(self) -> str:
         return f"{self.path}/log"
 
+    def _snapshots(self) -> list[tuple[int, int]]:
+        """(batch, run) of all snapshots, finished or not."""
+        names = files.children(self.spark, f"{self.path}/base")
+        return [_numbers(n) for n in names if n.startswith("through=")]
+
+    def _base(self, snapshot: tuple[int, int]) -> str:
+        return f"{self.path}/base/through={snapshot[0]}.{snapshot[1]}"
+
+    def _newest(self) -> tuple[int, int] | None:
+        done = [s for s in self._snapshots() if files.exists(self.spark, f"{self._base(s)}/_SUCCESS")]
+        return max(done, default=None)
+
     def snapshot(self) -> int | None:
         """Last batch covered by a finished snapshot."""
-        base = f"{self.path}/base"
-        done = [
-            int(name.removeprefix("through="))
-            for name in files.children(self.spark, base)
-            if name.startswith("through=") and files.exists(self.spark, f"{base}/{name}/_SUCCESS")
-        ]
-        return max(done, default=None)
+        newest = self._newest()
+        return None if newest is None else newest[0]
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Rows with one row per key plus ``partition`` and ``offset``."""
@@ -84,11 +91,12 @@ class UpsertTable:
         return log
 
     def _state(self, through: int | None = None) -> DataFrame:
-        done = self.snapshot()
+        newest = self._newest()
+        done = None if newest is None else newest[0]
         changes = latest_per_key(self._logged(done, through), list(self.keys), _ORDER)
-        if done is None:
+        if newest is None:
             return changes
-        base = self.spark.read.schema(_with_batch(self.schema)).parquet(f"{self.path}/base/through={done}")
+        base = self.spark.read.schema(_with_batch(self.schema)).parquet(self._base(newest))
         return upsert(base, changes, self.keys)
 
     def read(self) -> DataFrame:
@@ -104,21 +112,35 @@ class UpsertTable:
         state = self._state(through)
         if as_of is not None:
             state = retention.prune(state, "updated_at", ttl_hours, F.lit(as_of))
-        state.write.mode("overwrite").parquet(f"{self.path}/base/through={through}")
+        self._write_snapshot(state, through)
+
+    def _write_snapshot(self, state: DataFrame, through: int) -> None:
+        runs = [run for batch, run in self._snapshots() if batch == through]
+        state.write.parquet(self._base((through, max(runs, default=-1) + 1)))
+
+    def prune(self, as_of: datetime, ttl_hours: int | None) -> int:
+        """Write a snapshot without rows past their TTL, if there are any; returns their number."""
+        batches = [int(n.removeprefix("batch_id=")) for n in files.children(self.spark, self._log) if n.startswith("batch_id=")]
+        through = max([*batches, *[s[0] for s in self._snapshots()]], default=None)
+        if not ttl_hours or through is None:
+            return 0
+        state = self._state(through)
+        gone = state.filter(retention.expired("updated_at", ttl_hours, F.lit(as_of))).count()
+        if gone:
+            self._write_snapshot(retention.prune(state, "updated_at", ttl_hours, F.lit(as_of)), through)
+        return gone
 
     def vacuum(self) -> list[str]:
         """Remove log batches and snapshots older than the newest snapshot.
 
         Call it when no reader still uses them.
         """
-        done = self.snapshot()
-        if done is None:
+        newest = self._newest()
+        if newest is None:
             return []
-        gone = []
-        for folder, prefix, covered in (("log", "batch_id=", done), ("base", "through=", done - 1)):
-            for name in files.children(self.spark, f"{self.path}/{folder}"):
-                if name.startswith(prefix) and int(name.removeprefix(prefix)) <= covered:
-                    gone.append(f"{folder}/{name}")
+        logged = [n for n in files.children(self.spark, self._log) if n.startswith("batch_id=")]
+        gone = [f"log/{n}" for n in logged if int(n.removeprefix("batch_id=")) <= newest[0]]
+        gone += [f"base/through={b}.{r}" for b, r in self._snapshots() if (b, r) < newest]
         for name in gone:
             files.remove(self.spark, f"{self.path}/{name}")
         return gone
@@ -166,6 +188,15 @@ class EventLog:
             log = retention.prune(log, self.time_column, hours, F.lit(as_of))
         return log.drop(*_ORDER, "event_date")
 
+    def prune(self, as_of: datetime, hours: int | None) -> int:
+        """Remove wholly expired days; returns their rows. ``read`` leaves out the rest."""
+        if not hours:
+            return 0
+        first_day = _utc(as_of - timedelta(hours=hours)).date()
+        gone = self._all().filter(F.col("event_date") < F.lit(first_day)).count()
+        self.drop_expired_days(as_of, hours)
+        return gone
+
     def drop_expired_days(self, as_of: datetime, hours: int | None) -> list[str]:
         """Remove the folders of days that lie wholly before the retention limit."""
         if not hours:
@@ -180,5 +211,10 @@ class EventLog:
         return gone
 
 
+def _numbers(name: str) -> tuple[int, int]:
+    batch, run = name.removeprefix("through=").split(".")
+    return int(batch), int(run)
+
+
 def _utc(moment: datetime) -> datetime:
     return moment if moment.tzinfo is None else moment.astimezone(timezone.utc)

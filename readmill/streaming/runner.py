@@ -6,8 +6,9 @@ fails its query, which restarts from the checkpoint: nothing is dropped silently
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from readmill.operators import quarantine as Q
+from readmill.operators import retention
 from readmill.plans.batch import Settings, project_messages, rows_to_write
 from readmill.plans.projections import Projection, table_columns
 from readmill.sources.tables import EventLog, UpsertTable, _overwrite_partitions
@@ -101,6 +103,29 @@ def _write_metrics(store, projection, batch_id, consumed, written, outcomes) ->
     _overwrite_partitions(stamped.coalesce(1), store.metrics_path(), "topic", "batch_id")
 
 
+def maintain(
+    store: Store,
+    projections: Iterable[Projection],
+    as_of: datetime,
+    ttl_override: int | None = None,
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """Prune every table once, busy or idle: (metric, label, value) with the rows pruned of each.
+
+    A batch job to run every hour or so beside the streams. The counts also go to the metrics.
+    """
+    rows = []
+    for projection in retention.resolve_ttl(projections, ttl_override):
+        table = store.table(projection, table_schema(store.spark, projection, settings))
+        pruned = table.prune(as_of, retention.prune_target(projection)[1])
+        rows.append(("rows_pruned", projection.table, pruned, projection.topic))
+    counters = store.spark.createDataFrame(rows, "metric string, label string, value bigint, topic string")
+    # Runs are told apart from micro-batches by their sign.
+    stamped = counters.withColumn("batch_id", F.lit(-int(as_of.timestamp())).cast("bigint"))
+    _overwrite_partitions(stamped.coalesce(1), store.metrics_path(), "topic", "batch_id")
+    return counters.drop("topic")
+
+
 def start(
     projection: Projection,
     messages: DataFrame,

@@ -2,11 +2,12 @@
 
 The state of a key is two numbers: when it last reported, and how many fallbacks it
 has left out since. Rows of a key must arrive in time order across batches, as the
-messages of a key do; within a batch they are ordered here.
+messages of a key do; within a batch they are ordered here, whatever chunks they come in.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import Any
 
@@ -36,16 +37,19 @@ class _Throttle(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         known = self._state.get() if self._state.exists() else None
         last, left_out = (int(known[0]), int(known[1])) if known else (None, 0)
+        # All chunks of the key first: one count per second, not the rows themselves.
+        counts: Counter[int] = Counter()
         for chunk in rows:
-            reports = []
-            for second in sorted(int(s) for s in chunk[self._seconds]):
-                if last is None or second - last >= self._window_s:
-                    reports.append((*key, second, left_out))
-                    last, left_out = second, 0
-                else:
-                    left_out += 1
-            if reports:
-                yield pd.DataFrame(reports, columns=[*self._keys, self._seconds, "suppressed"])
+            counts.update(chunk[self._seconds].value_counts().to_dict())
+        reports = []
+        for second, n in sorted(counts.items()):
+            if last is None or second - last >= self._window_s:
+                reports.append((*key, second, left_out))
+                last, left_out = second, n - 1
+            else:
+                left_out += n
+        if reports:
+            yield pd.DataFrame(reports, columns=[*self._keys, self._seconds, "suppressed"])
         self._state.update((last, left_out))
 
     def close(self) -> None:

@@ -96,3 +96,29 @@ def test_outcome_counters(spark):
     got = {(r.metric, r.label): r.value for r in monitor.outcome_counters(df, "tab").collect()}
     assert got == {("messages_consumed", "t"): 6, ("rows_written", "tab"): 3,
                    ("decode_errors", "t:DecodeError"): 1, ("write_errors", "write:tab"): 1}
+
+
+def test_a_key_may_span_chunks_of_a_batch(spark):
+    """The streaming throttle sees one key in several chunks, out of order."""
+    import pandas as pd
+
+    from readmill.streaming.throttle import _Throttle
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    throttle = _Throttle(["k"], "second", 60)
+    throttle._state = State()
+    chunks = [pd.DataFrame({"second": [100, 130]}), pd.DataFrame({"second": [0, 10, 10]})]
+    found = pd.concat(throttle.handleInputRows(("a",), iter(chunks), None))
+    assert found[["second", "suppressed"]].values.tolist() == [[0, 0], [100, 2]]
+    assert throttle._state.value == (100, 1)

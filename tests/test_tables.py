@@ -77,7 +77,7 @@ def test_unfinished_snapshot_is_ignored(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
     assert table.read().count() == 0
     table.write_batch(spark.createDataFrame([("a", 1, at(1), 0, 0)], ROW_SCHEMA), 0)
-    (tmp_path / "t" / "base" / "through=5").mkdir(parents=True)
+    (tmp_path / "t" / "base" / "through=5.0").mkdir(parents=True)
     assert table.snapshot() is None
     assert {r.k: r.x for r in table.read().collect()} == {"a": 1}
     table.compact(0)
@@ -92,6 +92,19 @@ def test_compaction_applies_the_ttl(spark, tmp_path):
     assert {r.k for r in table.read().collect()} == {"edge", "new", "none"}
 
 
+def test_an_idle_table_is_pruned(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
+    assert table.prune(at(9), 24) == 0
+    rows = [("old", 1, at(1), 0, 0), ("new", 3, at(3), 0, 2), ("none", 4, None, 0, 3)]
+    table.write_batch(spark.createDataFrame(rows, ROW_SCHEMA), 0)
+    table.compact(0)
+    assert [table.prune(at(d), 24) for d in (2, 3, 3, 20)] == [0, 1, 0, 1]
+    assert {r.k for r in table.read().collect()} == {"none"}
+    table.write_batch(spark.createDataFrame(rows, ROW_SCHEMA), 0)  # a replay brings nothing back
+    table.vacuum()
+    assert {r.k for r in table.read().collect()} == {"none"} and table.snapshot() == 0
+
+
 def test_event_log_replay_and_days(spark, tmp_path):
     log = EventLog(spark, str(tmp_path / "t"), ("id",), EVENT)
     first = spark.createDataFrame([("a", 1, at(1), 0, 0), ("b", 2, at(2, 5), 0, 1), ("n", 3, None, 0, 2)], EVENT_SCHEMA)
