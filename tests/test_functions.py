@@ -76,18 +76,18 @@ def test_integer_errors(spark):
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("2026-05-14T03:00:00Z", "2026-05-14T03:00:00+00:00"),
-        ("2026-05-14T03:00:00.123456789Z", "2026-05-14T03:00:00.123456+00:00"),
-        ("2026-05-14", "2026-05-14T00:00:00+00:00"),
-        ("2026-05-14 03:00", "2026-05-14T03:00:00+00:00"),
-        ("2026-05-14T03", "2026-05-14T03:00:00+00:00"),
-        ("2026-05-14T03+02:00", "2026-05-14T01:00:00+00:00"),
-        ("2026-05-14T03:30Z", "2026-05-14T03:30:00+00:00"),
-        ("2026-05-14T03:00:00+0530", "2026-05-13T21:30:00+00:00"),
-        ("2026-05-14T03:00:00-03:30", "2026-05-14T06:30:00+00:00"),
-        ("2026-05-14T03:00:00,5Z", "2026-05-14T03:00:00.500000+00:00"),
-        ("", None), ("not-a-date", None), ("2026", None), ("2026-05", None), ("T03:00", None),
-        (" 2026-05-14 ", None), ("2026-02-30", None), ("0000-01-01", None), (..., None),
+        ("2027-02-03T03:00:00Z", "2027-02-03T03:00:00+00:00"),
+        ("2027-02-03T03:00:00.123456789Z", "2027-02-03T03:00:00.123456+00:00"),
+        ("2027-02-03", "2027-02-03T00:00:00+00:00"),
+        ("2027-02-03 03:00", "2027-02-03T03:00:00+00:00"),
+        ("2027-02-03T03", "2027-02-03T03:00:00+00:00"),
+        ("2027-02-03T03+02:00", "2027-02-03T01:00:00+00:00"),
+        ("2027-02-03T03:30Z", "2027-02-03T03:30:00+00:00"),
+        ("2027-02-03T03:00:00+0530", "2027-02-02T21:30:00+00:00"),
+        ("2027-02-03T03:00:00-03:30", "2027-02-03T06:30:00+00:00"),
+        ("2027-02-03T03:00:00,5Z", "2027-02-03T03:00:00.500000+00:00"),
+        ("", None), ("some day", None), ("2026", None), ("2026-05", None), ("T03:00", None),
+        (" 2027-02-03 ", None), ("2026-02-30", None), ("0000-01-01", None), (..., None),
         (None, None), (20260514, None), (True, None),
     ],
 )
@@ -103,7 +103,7 @@ def python_ns(ns):
 
 def test_ns_instant_matches_python(spark):
     rng = random.Random(7)
-    values = [1778738710276936935, 1778738710276936500, 1, 999, 1500, 253402300799000000000]
+    values = [1801627506123456789, 1801627506123456500, 1, 999, 1500, 253402300799000000000]
     values += [rng.randrange(1, 4_000_000_000_000_000_000) for _ in range(3000)]
     values += [rng.randrange(1, 2_000_000_000_000) * 1000 + 500 for _ in range(3000)]
     values += [(1 << 30) * 10**9 + d for d in range(-2000, 2001, 500)]
@@ -114,7 +114,7 @@ def test_ns_instant_matches_python(spark):
 
 
 def test_ns_instant_edges(spark):
-    values = wrap([0, -1, None, ..., "not-a-number", [], "0"])
+    values = wrap([0, -1, None, ..., "plenty", [], "0"])
     assert evaluate(spark, values, TM.ns_instant) == [None] * 7
     fallback = F.timestamp_micros(F.lit(5))
     any_sign = lambda f: F.unix_micros(TM.ns_instant_or(f, fallback))
@@ -126,8 +126,8 @@ def test_ns_instant_edges(spark):
 
 @pytest.mark.parametrize(
     "value, expected",
-    [("120s", 120), ("3.5s", 3), ("-3.5s", -3), ("90", 90), ("1e3s", 1000), (7.9, 7), (5, 5), (True, 1),
-     ("", None), ("abc", None), (None, None), (..., None), ("nan", None), ("90d", None), ([], None)],
+    [("45s", 45), ("6.25s", 6), ("-6.25s", -6), ("77", 77), ("1e3s", 1000), (7.9, 7), (5, 5), (True, 1),
+     ("", None), ("abc", None), (None, None), (..., None), ("nan", None), ("12d", None), ([], None)],
 )
 def test_duration_seconds(spark, value, expected):
     assert evaluate(spark, wrap([value]), TM.duration_seconds) == [expected]
@@ -164,7 +164,7 @@ def test_severity(spark, envelope, expected):
     "kinematics, expected",
     [
         ({"position": {"wgs84": {"latitude": 1.5, "longitude": 2}}}, (1.5, 2.0)),
-        ({"position": {"wgs84": {"lat": {"value": 52.957, "unit": "deg"}, "lon": {"value": "-1"}}}}, (52.957, -1.0)),
+        ({"position": {"wgs84": {"lat": {"value": 61.125, "unit": "deg"}, "lon": {"value": "-1"}}}}, (61.125, -1.0)),
         ({"position": {"lat": "10", "lon": 20}}, (10.0, 20.0)),
         ({"position": {"wgs84": {}, "lat": 3, "lon": 4}}, (3.0, 4.0)),
         ({"position": {"wgs84": {"latitude": None, "lat": 5, "lon": 6}}}, (5.0, 6.0)),

@@ -35,11 +35,11 @@ def test_registry():
 
 def test_cm_state(spark):
     body = {"asset_id": "A", "baseline_id": "b", "lifecycle": 2, "overall_status": 4, "last_alerted_status": 77,
-            "as_of_ns": 1778738710276936935, "last_observed_at_ns": 0, "installed": [{"slot_id": "s"}],
+            "as_of_ns": 1801627506123456789, "last_observed_at_ns": 0, "installed": [{"slot_id": "s"}],
             "mod_status": None, "edge_id": "e9", "region_id": "", "unknown": 1}
     check(one(spark, "cm_state", body), outcome="written", asset_id="A", baseline_id="b",
           lifecycle="LIFECYCLE_ACTIVE", overall_status="CONFIG_STATUS_NOT_MISSION_CAPABLE",
-          last_alerted_status="77", as_of=1778738710276937, last_observed_at=None,
+          last_alerted_status="77", as_of=1801627506123457, last_observed_at=None,
           installed=[{"slot_id": "s"}], mod_status="null", discrepancies=[], manual_discrepancies=[],
           edge_id="e9", region_id="region-01", provenance_fallback=True, updated_at=AS_OF_US)
     check(one(spark, "cm_state", {}), asset_id="key-1", lifecycle="LIFECYCLE_UNSPECIFIED",
@@ -58,12 +58,12 @@ def test_logistics_status(spark):
     body = {"status": {"asset_id": "A", "platform_variant": "v", "overall_severity": "RED",
                        "constraining_factors": [{"factor_id": "f"}],
                        "projected_mission_capable_remaining": "120s", "projected_time_to_next_constraint": "3.5s",
-                       "cm_baseline_id": "b", "status_revision": "91", "computed_at": "2026-05-14T03:00:00Z"},
+                       "cm_baseline_id": "b", "status_revision": "91", "computed_at": "2027-02-03T04:05:06Z"},
             "previous_severity": "AMBER", "is_transition": True, "provenance": {"edge_id": "e", "region_id": "r"}}
     check(one(spark, "logistics_status", body, settings=NEAR), asset_id="A", platform_variant="v",
           overall_severity="RED", previous_severity="AMBER", constraining_factors=[{"factor_id": "f"}],
           projected_mission_capable_remaining_seconds=120, projected_time_to_next_constraint_seconds=3,
-          cm_baseline_id="b", status_revision=91, computed_at=1778727600000000,
+          cm_baseline_id="b", status_revision=91, computed_at=1801627506000000,
           latest_telemetry_sample_time=None, is_transition=True, is_initial=False, edge_id="e", region_id="r")
     check(one(spark, "logistics_status", {"status": None, "is_initial": "no"}), asset_id="key-1",
           overall_severity="LOGISTICS_SEVERITY_UNSPECIFIED", constraining_factors=[], status_revision=0,
@@ -80,13 +80,13 @@ def test_telemetry_latest(spark):
     body = {"asset": {"asset_id": "A", "callsign": "c", "platform_variant": "v", "force": "FORCE_FRIENDLY"},
             "kinematics": {"position": {"wgs84": {"lat": {"value": 10.1, "unit": "deg"}, "lon": {"value": 38}}}},
             "sustainment": {"fuel": 1}, "schema_revision": 3,
-            "provenance": {"producer_id": "p", "sample_time": "2026-05-14T03:00:00Z"},
+            "provenance": {"producer_id": "maker-3", "sample_time": "2027-02-03T04:05:06Z"},
             "operational_state": {"power_state": "ON", "health_state": "OK", "actively_receiving": False}}
     check(one(spark, "telemetry_latest", body, settings=NEAR), asset_id="A", callsign="c", force_id="FORCE_FRIENDLY",
-          edge_id="f2", region_id="r2", sustainment={"fuel": 1}, last_sample_at=1778727600000000,
+          edge_id="f2", region_id="r2", sustainment={"fuel": 1}, last_sample_at=1801627506000000,
           schema_revision=3, power_state="ON", functional_mode=None, health_state="OK",
           actively_receiving=False, actively_transmitting=None,
-          provenance={"producer_id": "p", "sample_time": "2026-05-14T03:00:00Z"})
+          provenance={"producer_id": "maker-3", "sample_time": "2027-02-03T04:05:06Z"})
     own = body | {"provenance": {"edge_id": "e", "region_id": "r"}}
     check(one(spark, "telemetry_latest", own, settings=NEAR), edge_id="e", region_id="r")
     check(one(spark, "telemetry_latest", {}, settings=NEAR), asset_id="key-1", kinematics=None, provenance={},
@@ -96,10 +96,10 @@ def test_telemetry_latest(spark):
 
 
 def test_tactical_events(spark):
-    body = {"id": "1", "source": "s", "type": "t", "subject": "A", "time": "2026-05-14T03:00:00Z",
+    body = {"id": "1", "source": "s", "type": "t", "subject": "A", "time": "2027-02-03T04:05:06Z",
             "data": {"current_status": "DOWN", "edge_id": "e", "region_id": "r"}}
     check(one(spark, "tactical_events", body), id="1", source="s", type="t", subject="A", severity="DOWN",
-          time=1778727600000000, edge_id="e", region_id="r", ingested_at=AS_OF_US, provenance_fallback=False)
+          time=1801627506000000, edge_id="e", region_id="r", ingested_at=AS_OF_US, provenance_fallback=False)
     bare = {"id": "1", "source": "s", "type": "t"}
     check(one(spark, "tactical_events", bare), subject="key-1", severity=None, time=None, data={}, **SITE_PAIR)
     check(one(spark, "tactical_events", bare | {"data": None}), data="null")
@@ -110,11 +110,11 @@ def test_tactical_events(spark):
 def test_telemetry_windows(spark):
     body = {"asset_id": "A", "platform_variant": "v", "fluid_trends": {"oil": {"slope": 1}},
             "consumable_trends": [{"slot": 1}], "wear_trends": [{"component": "c"}],
-            "window": {"sample_count": "12", "window_duration": "60s"}, "computed_at": "2026-05-14",
+            "window": {"sample_count": "12", "window_duration": "60s"}, "computed_at": "2027-02-03",
             "provenance": {"edge_id": "e"}}
     check(one(spark, "telemetry_windows", body), asset_id="A", fluid_trends={"oil": {"slope": 1}},
           consumable_trends=[{"slot": 1}], component_wear_trends=[{"component": "c"}],
-          window_duration_seconds=60, sample_count=12, computed_at=1778716800000000,
+          window_duration_seconds=60, sample_count=12, computed_at=1801612800000000,
           edge_id="e", region_id="region-01")
     check(one(spark, "telemetry_windows", {"window": {"duration": "5s", "window_duration": "60s"}}),
           window_duration_seconds=5, sample_count=None, fluid_trends=[])
@@ -123,9 +123,9 @@ def test_telemetry_windows(spark):
 
 
 def test_regions(spark):
-    body = {"region_id": "R", "nominal": 3, "degraded": "2", "critical": None, "observed_at": "2026-05-14T03:00:00Z"}
+    body = {"region_id": "R", "nominal": 3, "degraded": "2", "critical": None, "observed_at": "2027-02-03T04:05:06Z"}
     check(one(spark, "region_fleet_summary", body), region_id="R", nominal=3, degraded=2, critical=0,
-          non_operational=0, asset_count=0, observed_at=1778727600000000)
+          non_operational=0, asset_count=0, observed_at=1801627506000000)
     check(one(spark, "region_fleet_summary", {"nominal": "x"}), outcome="handler_exception")
     factors = [{"factor_id": "a", "count": 1}, {"factor_id": "b", "count": 9}]
     check(one(spark, "region_top_factors", {"factors": factors}), region_id="key-1", factors=factors)
@@ -136,9 +136,9 @@ def test_regions(spark):
 
 def test_capability_state(spark):
     body = {"asset_id": "L-1", "capabilities": [{"store": "x"}], "schema_version": "1.0", "mode": "m",
-            "observed_at": "2026-05-14T03:00:00Z"}
+            "observed_at": "2027-02-03T04:05:06Z"}
     check(one(spark, "capability_state", body, settings=NEAR), asset_id="L-1", capabilities=[{"store": "x"}],
-          schema_version="1.0", mode="m", observed_at=1778727600000000, edge_id="lp", region_id="lr")
+          schema_version="1.0", mode="m", observed_at=1801627506000000, edge_id="lp", region_id="lr")
     check(one(spark, "capability_state", {}, settings=NEAR), capabilities=[], **UNKNOWN)
 
 

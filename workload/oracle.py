@@ -69,7 +69,7 @@ FROM d GROUP BY 1"""
 
 MIXED = f"""{E}, x AS (
   SELECT e, off, 'asset-logistics-status' AS topic,
-    CASE WHEN e % 31 IN (3, 5) THEN 'DecodeError'
+    CASE WHEN e % 31 IN (3, 5, 13) THEN 'DecodeError'
          WHEN e % 31 = 7 THEN 'handler_exception'
          WHEN e % 31 = 9 THEN 'write_error'
          WHEN e % 31 = 11 THEN 'skipped'
@@ -77,6 +77,7 @@ MIXED = f"""{E}, x AS (
     CASE WHEN e % 31 = 3 THEN 'message value is None (tombstone?)'
          WHEN e % 31 = 5 THEN 'not valid JSON'
          WHEN e % 31 = 7 THEN 'status is not an object'
+         WHEN e % 31 = 13 THEN 'message key is not UTF-8'
          WHEN e % 31 = 9 THEN 'status.status_revision is out of range'
          WHEN e % 31 <> 11 AND e % 97 = 13 THEN 'status.status_revision is not a whole number'
     END AS detail
@@ -354,7 +355,7 @@ SELECT c.asset_id, n.edge_id, n.region_id, CASE WHEN n.k IS NOT NULL THEN 'neare
 FROM c LEFT JOIN n ON c.k = n.k"""
 
 ORACLE["great_circle"] = f"""
-WITH {C} SELECT asset_id, round({km("lat", "lon", "10e0", "20e0")}, 3) AS km FROM c"""
+WITH {C} SELECT asset_id, round({km("lat", "lon", "35.25e0", "-97.5e0")}, 3) AS km FROM c"""
 
 
 def prefix_match(source: str) -> str:
@@ -374,7 +375,7 @@ ORACLE["join_longest_prefix"] = prefix_match("""d AS (SELECT * FROM (VALUES
 
 ORACLE["join_longest_prefix_table"] = ORACLE["join_longest_prefix_blocked"] = prefix_match("""
 n AS (SELECT s_suppkey AS s, 'Customer#' || lpad(CAST(s_suppkey * 7 AS VARCHAR), 9, '0') AS name
-      FROM supplier WHERE s_suppkey % 2 = 0),
+      FROM supplier),
 q AS (SELECT DISTINCT CASE WHEN s % 3 = 0 THEN left(name, 15) WHEN s % 3 = 1 THEN left(name, 17)
       ELSE name END AS prefix FROM n),
 d AS (SELECT prefix, 'edge-' || prefix AS edge_id, 'region-' || length(prefix) AS region_id FROM q)""")
@@ -386,9 +387,24 @@ SELECT c.asset_id, d.edge_id, d.region_id,
   CASE WHEN d.asset_id IS NOT NULL THEN 'static_map' END AS method, {NO_SITE}, {NO_PREFIX}
 FROM c LEFT JOIN d ON c.asset_id = d.asset_id"""
 
+ORACLE["join_static_config"] = f"""
+WITH {C}
+SELECT asset_id, CASE WHEN m THEN 'edge-' || (k // 3) END AS edge_id,
+  CASE WHEN m THEN 'region-' || (k // 3 % 5) END AS region_id,
+  CASE WHEN m THEN 'static_map' END AS method, {NO_SITE}, {NO_PREFIX}
+FROM (SELECT *, k % 3 = 0 AND k < 1200 AS m FROM c)"""
+
+ORACLE["join_chain_tables"] = f"""
+WITH x AS ({ORACLE["join_static"]}), y AS ({ORACLE["join_longest_prefix_table"]})
+SELECT asset_id, CASE WHEN x.method IS NULL THEN y.edge_id ELSE x.edge_id END AS edge_id,
+  CASE WHEN x.method IS NULL THEN y.region_id ELSE x.region_id END AS region_id,
+  coalesce(x.method, y.method) AS method, x.fob_label, x.distance_km,
+  CASE WHEN x.method IS NULL THEN y.prefix END AS prefix
+FROM x JOIN y USING (asset_id)"""
+
 ORACLE["join_chain_fallback"] = f"""
-WITH {C}, sites AS (SELECT * FROM (VALUES (0, 'f1', 'r1', 10e0, 20e0, 'one'),
-    (1, 'f2', 'r2', 10e0, 40e0, 'two'), (2, 'f3', 'r3', -10e0, 20e0, ''))
+WITH {C}, sites AS (SELECT * FROM (VALUES (0, 'f1', 'r1', 47.25e0, -12.5e0, 'north'),
+    (1, 'f2', 'r2', 5.75e0, 118.5e0, 'east'), (2, 'f3', 'r3', -36.5e0, 61.25e0, ''))
     AS v(ordinal, edge_id, region_id, lat, lon, label)), {NEAREST},
 x AS (SELECT c.asset_id, n.edge_id AS ne, n.region_id AS nr, n.label, n.km,
   CASE WHEN c.asset_id = 'Customer#000000003' THEN 'static_map'
@@ -483,18 +499,28 @@ ORACLE["fallback_throttle"] = throttle(
 )
 
 ORACLE["projected_fallbacks"] = throttle(
-    f"{E}, t AS (SELECT 'tactical-events' AS topic, asset AS subject, us // 1000000 AS second, "
-    "count(*) AS n FROM e WHERE (e % 4 = 1 OR e % 5 = 1) AND e % 29 <> 11 GROUP BY ALL)",
+    f"{E}, t AS (SELECT 'tactical-events' AS topic, asset AS subject, "
+    f"CASE WHEN e % 29 = 11 THEN {AS_OF_US} ELSE us END // 1000000 AS second, "
+    "count(*) AS n FROM e WHERE e % 4 = 1 OR e % 5 = 1 GROUP BY ALL)",
     "topic, subject", 86400,
 )
 
 ORACLE["stream_metrics"] = f"""
 WITH {E}
 SELECT 'messages_consumed' AS metric, 'asset-logistics-status' AS label, count(*) AS value FROM e
-UNION ALL SELECT 'rows_written', 'asset_logistics_status', count(DISTINCT u) FROM e WHERE e % 97 <> 13
+UNION ALL SELECT 'rows_written', 'asset_logistics_status', 
+       count(DISTINCT (((e * 7919) % 1000003) * 4 // 1000003, u)) FROM e WHERE e % 97 <> 13
 UNION ALL SELECT 'decode_errors', 'asset-logistics-status:handler_exception', count(*)
           FROM e WHERE e % 97 = 13"""
 
+ORACLE["maintain_tables"] = f"""
+WITH {E}, {latest("u", "u % 3 <> 0")}
+SELECT asset AS asset_id, 'base-' || (e % 7) AS baseline_id, {AS_OF_US} AS updated_at FROM l"""
+
+ORACLE["pruned_rows"] = f"""
+WITH {E}
+SELECT 'rows_pruned' AS metric, 'asset_cm_state' AS label, count(DISTINCT u) AS value FROM e WHERE u % 3 = 0"""
+
 ORACLE["changelog_compaction"] = f"""
 WITH {E}, {latest("u")}
 SELECT asset AS asset_id,

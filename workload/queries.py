@@ -18,7 +18,7 @@ from readmill.operators.provenance import Resolver, fieldwise, message_pair, pai
 from readmill.plans.batch import Settings, project_messages, read_model, rows_to_write
 from readmill.plans.projections import get_projection
 from readmill.session import configure, scratch_path
-from readmill.streaming.runner import Store, run_available, table_schema
+from readmill.streaming.runner import Store, maintain, run_available, table_schema
 from workload import messages as M
 
 AS_OF_MOMENT = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -88,7 +88,8 @@ def _mixed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(row_id % 31 == 9, F.lit('{"status":{"status_revision":99999999999999999999}}').cast("binary"))
         .when(row_id % 31 == 11, F.lit('{"status":{}}').cast("binary"))
         .otherwise(F.col("value")),
-    ).withColumn("key", F.when(row_id % 31 == 11, F.lit("").cast("binary")).otherwise(F.col("key")))
+    ).withColumn("key", F.when(row_id % 31 == 11, F.lit("").cast("binary"))
+        .when(row_id % 31 == 13, F.unhex(F.lit("C328"))).otherwise(F.col("key")))
     return project_messages(damaged, get_projection("logistics_status"), as_of=as_of())
 
 
@@ -418,7 +419,7 @@ def great_circle(spark, sf_dir):
     """Distance of every customer to a fixed point, rounded to metres."""
     from readmill.functions.geo import great_circle_km
 
-    km = great_circle_km(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0))
+    km = great_circle_km(F.col("lat"), F.col("lon"), F.lit(35.25), F.lit(-97.5))
     return _assets(spark, sf_dir).select("asset_id", F.round(km, 3).alias("km"))
 
 
@@ -431,13 +432,13 @@ PREFIXES = {
 
 
 def _prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second supplier number, cut to three lengths, as a customer prefix."""
+    """Every supplier number, cut to three lengths, as a customer prefix."""
     s = F.col("s_suppkey")
     name = F.concat(F.lit("Customer#"), F.lpad((s * 7).cast("string"), 9, "0"))
     cut = F.when(s % 3 == 0, F.substring(name, 1, 15)).when(
         s % 3 == 1, F.substring(name, 1, 17)
     ).otherwise(name)
-    base = M.table(spark, sf_dir, "supplier").filter(s % 2 == 0).select(cut.alias("prefix"))
+    base = M.table(spark, sf_dir, "supplier").select(cut.alias("prefix"))
     return base.distinct().select(
         "prefix",
         F.concat(F.lit("edge-"), F.col("prefix")).alias("edge_id"),
@@ -500,9 +501,9 @@ CHAIN_CONFIG = {
                 {
                     "strategy": "nearest_fob",
                     "fobs": [
-                        {"edge_id": "f1", "region_id": "r1", "lat": 10, "lon": 20, "label": "one"},
-                        {"edge_id": "f2", "region_id": "r2", "lat": 10, "lon": 40, "label": "two"},
-                        {"edge_id": "f3", "region_id": "r3", "lat": -10, "lon": 20},
+                        {"edge_id": "f1", "region_id": "r1", "lat": 47.25, "lon": -12.5, "label": "north"},
+                        {"edge_id": "f2", "region_id": "r2", "lat": 5.75, "lon": 118.5, "label": "east"},
+                        {"edge_id": "f3", "region_id": "r3", "lat": -36.5, "lon": 61.25},
                     ],
                 },
             ],
@@ -512,10 +513,29 @@ CHAIN_CONFIG = {
 }
 
 
+@query
+def join_static_config(spark, sf_dir):
+    """A configured map of 400 entries, more than literals take."""
+    configure(spark)
+    block = {
+        f"Customer#{n * 3:09d}": {"edge_id": f"edge-{n}", "region_id": f"region-{n % 5}"} for n in range(400)
+    }
+    strategy = A.configured({"strategy": "static", "static_map": block})
+    return _assigned(strategy(_assets(spark, sf_dir), A.Asset(), "a"))
+
+
+@query
+def join_chain_tables(spark, sf_dir):
+    """A static table, then a prefix table in its shuffled form."""
+    prefixes = A.longest_prefix_table(_prefix_table(configure(spark), sf_dir), broadcast_rows=0)
+    strategy = A.chain(A.static_table(_static(spark, sf_dir)), prefixes)
+    return _assigned(strategy(_assets(spark, sf_dir), A.Asset(), "a"))
+
+
 @query
 def join_chain_fallback(spark, sf_dir):
     """A configured chain: static, then prefix, then nearest of three, then fallback."""
-    strategy = A.resolver_from_config(CHAIN_CONFIG)
+    strategy = A.configured_resolver(CHAIN_CONFIG)
     return _assigned(strategy(_assets(spark, sf_dir), A.Asset(), "a"))
 
 
@@ -647,30 +667,32 @@ def fallback_throttle(spark, sf_dir):
 
 @query
 def projected_fallbacks(spark, sf_dir):
-    """Site-default fallbacks of the event log, throttled per edge and subject."""
+    """Site-default fallbacks of the event log, throttled per subject; without a time they count at ``as_of``."""
     projected = project_messages(
         M.cloudevents(events(spark, sf_dir)), get_projection("tactical_events"), as_of=as_of()
     )
-    fallbacks = projected.filter("outcome = 'written' and provenance_fallback and time is not null")
-    seen = fallbacks.select("topic", "subject", F.unix_seconds("time").alias("second"))
+    fallbacks = projected.filter("outcome = 'written' and provenance_fallback")
+    seen = fallbacks.select("topic", "subject", F.unix_seconds(F.coalesce("time", as_of())).alias("second"))
     return monitor.fallback_report(seen, ["topic", "subject"], "second", 24 * 3600)
 
 
 # --------------------------------------------------------------------- streaming
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str, build) -> tuple[Store, DataFrame]:
+def _streamed(
+    spark: SparkSession, sf_dir: str, name: str, build, redelivered: bool = False
+) -> tuple[Store, DataFrame]:
     """Run one projection over the events table as a stream and read its table."""
     configure(spark)
     store = Store(spark, scratch_path(spark, name))
     projection = get_projection(name)
-    run_available(projection, build(M.event_stream(spark, sf_dir)), store, as_of=as_of())
+    run_available(projection, build(M.event_stream(spark, sf_dir, redelivered)), store, as_of=as_of())
     return store, store.table(projection, table_schema(spark, projection)).read()
 
 
 @query
 def stream_append_ignore(spark, sf_dir):
-    _, rows = _streamed(spark, sf_dir, "tactical_events", M.cloudevents)
+    _, rows = _streamed(spark, sf_dir, "tactical_events", M.cloudevents, redelivered=True)
     kept = retention.prune(rows, "time", 240, as_of())
     return kept.select("id", "edge_id", "region_id", "subject", "severity", micros("time"))
 
@@ -712,6 +734,38 @@ def changelog_compaction(spark, sf_dir):
     )
 
 
+def _aged(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
+    """A table of which every third user's rows are three days old, after one run of upkeep."""
+    configure(spark)
+    projection = get_projection("cm_state")
+    store = Store(spark, scratch_path(spark, "aged"))
+    table = store.table(projection, table_schema(spark, projection))
+    old = F.col("user_id") % 3 == 0
+    moments = (as_of() - F.expr("INTERVAL 3 DAYS"), as_of())
+    for batch_id, (own, moment) in enumerate(zip((old, ~old), moments)):
+        messages = M.cm_state(events(spark, sf_dir).where(own))
+        projected = project_messages(messages, projection, as_of=moment)
+        table.write_batch(rows_to_write(projected, projection), batch_id)
+    table.compact(1)
+    return store, maintain(store, [projection], AS_OF_MOMENT)
+
+
+@query
+def maintain_tables(spark, sf_dir):
+    """What is left of an idle table when its old rows are pruned."""
+    projection = get_projection("cm_state")
+    store, _ = _aged(spark, sf_dir)
+    rows = store.table(projection, table_schema(spark, projection)).read()
+    return rows.select("asset_id", "baseline_id", micros("updated_at"))
+
+
+@query
+def pruned_rows(spark, sf_dir):
+    """The pruned-rows counter, as the metrics hold it."""
+    store, _ = _aged(spark, sf_dir)
+    return spark.read.parquet(store.metrics_path()).select("metric", "label", "value")
+
+
 # ---------------------------------------------------------------------- flagship
 
 
