@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from readmill.llm.crosspolytope import near_vectors
-from readmill.llm.line_dedup import dedup_documents
 from readmill.llm.merkle import fingerprint_documents
 from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
+from readmill.llm.passage_dedup import dedup_passage_documents
 from readmill.llm.secret_scan import scan_documents
 from readmill.llm.sharding import shard_table
 from readmill.llm.superminhash import near_duplicates
@@ -55,7 +55,7 @@ def op8_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_documents(_documents(spark, sf_dir))
+    return dedup_passage_documents(_documents(spark, sf_dir))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
