@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readmill.llm.columns import passed
-from readmill.llm.line_dedup import EDGE, MIN_WORDS
+from readmill.llm.line_dedup import MIN_WORDS
 from readmill.session import materialise
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -56,8 +56,7 @@ def _shifted(name: str, by: int) -> Column:
 
 def _hashed(texts: DataFrame, length: int) -> DataFrame:
     """``texts`` with ``hashes``: of the ``length`` words (a power of two) from each word on; too short ones at the end."""
-    words = F.split(F.regexp_replace(_text(), EDGE, ""), SPACE, -1)
-    hashes = F.filter(words, lambda w: w != "")
+    hashes = F.filter(F.split(_text(), SPACE, -1), lambda w: w != "")
     made = texts.withColumn("hashes", F.transform(hashes, lambda w: F.xxhash64(w)))
     return _longer(made, 1, length)
 
@@ -97,7 +96,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``runs`` (first, last word from 0, sorted and merged; NULL if there are none) are those of the
     first row; in other rows of the text all words are repeated.
     """
-    selected = materialise(_selected(docs, min_words), "passage-marks")
+    selected = _selected(docs, min_words)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     # A text's marks are the same in all of its rows.
     firsts = selected.where(f"n >= {min_words}").groupBy("text_hash").agg(

@@ -148,7 +148,7 @@ def _digest(s: np.ndarray) -> str:
 
 
 def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set, '' if empty) and band keys of every document."""
+    """doc_id, text_hash, n_shingles, node (digest of the set, '' if empty) and band keys of every document."""
 
     def task(batches):
         for batch in batches:
@@ -165,15 +165,17 @@ def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").cast(pa.int64()),
+                        part.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) for s in sets], pa.string()),
                         pa.array(listed, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "node", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "node", "bands"],
                 )
 
+    hashed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     return map_arrow(
-        docs.select("doc_id", "text"), task, "doc_id long, n_shingles long, node string, bands array<long>"
+        hashed, task, "doc_id long, text_hash long, n_shingles long, node string, bands array<long>"
     )
 
 
@@ -344,15 +346,20 @@ def linked_classes(
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document.
+    """doc_id, n_shingles, component_id and kept of every document; see ``near_duplicate_rows``."""
+    return near_duplicate_rows(docs, words, percent).drop("text_hash")
+
+
+def near_duplicate_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and kept of every document.
 
     Words are runs of characters other than ASCII white space, with A-Z in lower case. Two sets are
     linked if 100 * intersection >= ``percent`` * union. ``component_id`` is the least
-    ``doc_id`` that links reach; one row of it is kept.
+    ``doc_id`` that links reach; its first row, by (doc_id, text hash), is kept.
 
     A NULL text, or one without words, has an empty set and is linked with nothing. Fewer
     than ``words`` words are one shingle. Repeated rows have equal sets and are linked; rows with one
-    ``doc_id`` are all kept or all not. A row without ``doc_id`` counts in its component but names it only if
+    ``doc_id`` and text are all kept or all not. A row without ``doc_id`` counts in its component but names it only if
     no other row does. Texts are read whole. An empty table gives an empty result. Only
     ``doc_id`` and ``text`` are read, so that other columns may have any name.
     """
@@ -360,15 +367,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     bands, rows = banding(percent)
     sketches = materialise(sketch(docs, words, bands, rows), "sketches")
     labels = linked_classes(docs, sketches, words, percent)
-    plain = sketches.select("doc_id", "n_shingles", "node")
+    plain = sketches.select("doc_id", "text_hash", "n_shingles", "node")
     if labels is None:
         named = plain.withColumn("label", F.col("node"))
     else:
         named = plain.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    least = named.where("n_shingles > 0").groupBy("label").agg(F.min(row).alias("least"))
     # Empty sets have the label '' and no partner.
     joined = named.join(least, "label", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least.doc_id"))
+    kept = (F.col("n_shingles") == 0) | row.eqNullSafe(F.col("least"))
+    return joined.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"))

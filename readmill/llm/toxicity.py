@@ -266,10 +266,11 @@ _scorers: dict = {}
 
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
-    """doc_id, score and predicted of every document."""
-    out = "doc_id long, score double, predicted int"
+    """doc_id, text_hash, score and predicted of every document."""
+    out = "doc_id long, text_hash long, score double, predicted int"
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     if model is None:
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.select("doc_id", "text_hash", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     name = f"{model['slope']!r} {model['shift']!r} {len(model['vocabulary'])}"
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -285,13 +286,14 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").cast(pa.int64()),
+                        part.column("text_hash"),
                         pa.array(chance, pa.float64()),
                         pa.array((chance >= THRESHOLD).astype(np.int32), pa.int32()),
                     ],
-                    ["doc_id", "score", "predicted"],
+                    ["doc_id", "text_hash", "score", "predicted"],
                 )
 
-    return map_arrow(docs.select("doc_id", "text"), task, out)
+    return map_arrow(docs, task, out)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
