@@ -7,10 +7,15 @@ is found from its first word to its last, whether or not it ends with a line.
 
 Windows are not all compared. Each selects the least of the hashes of its ``_gram`` word runs as its
 fingerprint (the first of equal ones); neighbouring windows mostly select the same one, and
-equal windows always do. Only windows around a fingerprint that occurs more than once are hashed whole
-and joined by that hash; the first place of each is found by aggregates that combine on the
-map side. Hashes of longer runs are made of those of two shorter ones, and least hashes of
-longer runs likewise, so that a text costs a few passes over its words.
+equal windows always do. So a text is a chain of marks, each with the windows that select it, and
+the words of those windows are the mark's *context*. Marks that occur once end there. Of equal
+contexts all but the first are repeated, extended both ways as far as the mark's windows reach. Only
+the first of each context is looked at word by word, and only where its mark stands in other contexts
+too: at the ends of a repeated run. What comes back from each comparison is one row per distinct
+context or window, the first place, and a text's repeated windows are those of its own that are not
+among them; so a passage that a third of all texts share is one row, not a group. Hashes of longer
+runs are made of those of shorter ones, and least hashes of longer runs likewise, so that a
+text costs a few passes over its words.
 
 A text that occurs under several ids is compared once, for its first row; in the others every window
 stood earlier, so that they go whole if they have ``min_words`` words.
@@ -32,9 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readmill.llm.columns import passed
-from readmill.llm.line_dedup import MIN_WORDS
 from readmill.session import materialise
 
+MIN_WORDS = 50
 SPACE = r"[\x20\x09-\x0D]+"
 #: A word with the white space before it.
 TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
@@ -50,44 +55,91 @@ def _gram(min_words: int) -> int:
     return 1 << max(0, (min_words // 3).bit_length() - 1)
 
 
-def _shifted(name: str, by: int) -> Column:
-    return F.slice(F.col(name), F.lit(by + 1), F.size(name))
+def _joined(rows: DataFrame, name: str, of: int, width: int, step: int, join) -> DataFrame:
+    """``rows`` with the array ``name`` of spans of ``of`` entries joined to spans of ``width`` of them.
 
-
-def _hashed(texts: DataFrame, length: int) -> DataFrame:
-    """``texts`` with ``hashes``: of the ``length`` words (a power of two) from each word on; too short ones at the end."""
-    hashes = F.filter(F.split(_text(), SPACE, -1), lambda w: w != "")
-    made = texts.withColumn("hashes", F.transform(hashes, lambda w: F.xxhash64(w)))
-    return _longer(made, 1, length)
+    Each pass joins up to ``step`` spans that touch or overlap. Spans that reach beyond the end hold what is there.
+    """
+    while of < width:
+        longer = min(width, of * step)
+        offsets = [*range(0, longer - of, of), longer - of]
+        rows = rows.withColumn(name, F.transform(name, lambda _, i: join(*[F.get(name, i + o) for o in offsets])))
+        of = longer
+    return rows
 
 
-def _longer(texts: DataFrame, of: int, length: int) -> DataFrame:
-    while of < length:
-        texts = texts.withColumn("hashes", F.zip_with("hashes", _shifted("hashes", of), lambda x, y: F.xxhash64(x, y)))
-        of *= 2
-    return texts
+def _grams(texts: DataFrame, min_words: int, *keep: str) -> DataFrame:
+    """``keep`` and ``grams``: a hash of the ``_gram`` words (a power of two) from each word on."""
+    words = F.filter(F.split(_text(), SPACE, -1), lambda w: w != "")
+    hashed = texts.withColumn("grams", F.transform(words, lambda w: F.xxhash64(w)))
+    return _held(_joined(hashed, "grams", 1, _gram(min_words), 4, F.xxhash64), F.col("grams"), "grams", *keep)
 
 
-def _selected(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_hash, n (words) and the fingerprints (mark, at) that the windows of each text select."""
+def _window(begin: Column, min_words: int) -> Column:
+    """Hash of the window from word ``begin`` on."""
     gram = _gram(min_words)
-    width = min_words - gram + 1
+    return F.xxhash64(*[F.get("grams", begin + o) for o in [*range(0, min_words - gram, gram), min_words - gram]])
+
+
+def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
+    """``keep`` and ``made`` through a one-row generator.
+
+    Filters and lambdas on ``made`` then stay above it; the optimizer would otherwise copy the
+    passes over a text's words into each place that names their result.
+    """
+    return rows.select(*keep, F.inline(F.array(F.struct(made.alias(name)))))
+
+
+def _marks(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, text_hash, n (words) and ``marks``: the fingerprints that the windows of each text select.
+
+    A mark's ``begin`` and ``last`` are the first and last window that select it, and ``context`` is a
+    hash of all words from the first word of the one to the last word of the other.
+    """
+    width = min_words - _gram(min_words) + 1
+    keep = ("doc_id", "text_hash")
     texts = docs.select("doc_id", F.xxhash64(_text()).alias("text_hash"), "text")
-    hashed = _hashed(texts, gram).drop("text").withColumn("n", F.size("hashes"))
     ranked = F.transform(
-        "hashes", lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 64 - _PLACE_BITS), _PLACE_BITS).bitwiseOR(i.cast("long"))
+        "grams", lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 64 - _PLACE_BITS), _PLACE_BITS).bitwiseOR(i.cast("long"))
     )
-    made = hashed.withColumn("least", ranked)
-    of = 1
-    while of < width:
-        step = min(of, width - of)
-        made = made.withColumn("least", F.zip_with("least", _shifted("least", step), lambda x, y: F.least(x, y)))
-        of += step
-    windows = F.slice("least", F.lit(1), F.greatest(F.col("n") - (min_words - 1), F.lit(0)))
-    made = made.withColumn("least", F.array_distinct(windows))
+    least = _joined(_grams(texts, min_words, *keep).withColumn("least", ranked), "least", 1, width, 6, F.least)
+    count = F.greatest(F.size("grams") - (min_words - 1), F.lit(0))
+    chosen = F.array_distinct(F.slice("least", F.lit(1), count))
+    made = _held(least, chosen, "chosen", *keep, "grams")
     place = lambda x: x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
-    marks = F.transform("least", lambda x: F.struct(F.get("hashes", place(x)).alias("mark"), place(x).alias("at")))
-    return made.select("doc_id", "text_hash", "n", marks.alias("marks"))
+    # A lesser fingerprint is selected once it is in reach, a greater one when the one before is not.
+    begin = lambda x, before: F.when(before.isNull(), 0).when(x < before, place(x) - (width - 1)).otherwise(place(before) + 1)
+
+    def mark(x: Column, k: Column) -> Column:
+        after = F.get("chosen", k + 1)
+        return F.struct(
+            F.get("grams", place(x)).alias("mark"),
+            begin(x, F.get("chosen", k - 1)).alias("begin"),
+            F.when(after.isNull(), F.size("grams") - min_words).otherwise(begin(after, x) - 1).alias("last"),
+        )
+
+    made = _held(made, F.transform("chosen", mark), "marks", *keep, "grams")
+    context = lambda m: F.xxhash64(_window(m["begin"], min_words), _window(m["last"], min_words), m["last"] - m["begin"])
+    marks = F.transform("marks", lambda m: m.withField("context", context(m)))
+    return made.select(*keep, F.size("grams").alias("n"), marks.alias("marks"))
+
+
+def _numbered(rows: DataFrame, column: str, *keep: str) -> DataFrame:
+    """One row per struct of ``column``: its fields and its place ``k`` there."""
+    return rows.select(*keep, F.posexplode(column).alias("k", "_entry")).select(*keep, "k", "_entry.*")
+
+
+def _without_listed(column: str, listed: str) -> Column:
+    """``column`` without the entries whose places are in ``listed``; the work is linear in both."""
+    places = F.when(F.size(column) > 0, F.sequence(F.lit(0), F.size(column) - 1))
+    none = F.array().cast("array<int>")
+    return F.transform(F.array_except(F.coalesce(places, none), F.coalesce(listed, none)), lambda k: F.get(column, k))
+
+
+def _lone(marks: DataFrame) -> DataFrame:
+    """text_hash and ``lone``: the places ``k`` of marks that occur once in all texts."""
+    counted = marks.groupBy("mark").agg(F.count("*").alias("c"), F.min("text_hash").alias("text_hash"), F.min("k").alias("k"))
+    return counted.where("c = 1").groupBy("text_hash").agg(F.collect_list("k").alias("lone"))
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -96,44 +148,65 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``runs`` (first, last word from 0, sorted and merged; NULL if there are none) are those of the
     first row; in other rows of the text all words are repeated.
     """
-    selected = _selected(docs, min_words)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     # A text's marks are the same in all of its rows.
-    firsts = selected.where(f"n >= {min_words}").groupBy("text_hash").agg(
+    firsts = _marks(docs, min_words).where(f"n >= {min_words}").groupBy("text_hash").agg(
         F.min(row).alias("first"), F.max(row).alias("last"), F.first("n").alias("n"), F.first("marks").alias("marks")
     )
     firsts = materialise(firsts, "passage-texts")
-    marks = firsts.select("text_hash", F.col("first.doc_id").alias("doc_id"), F.inline("marks"))
-    frequent = marks.groupBy("mark").agg(F.count("*").alias("c")).where("c > 1").select("mark")
-    around = marks.join(frequent, "mark").groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("places"))
-    around = around.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "places")
-    texts = docs.select("doc_id", F.xxhash64(_text()).alias("text_hash"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
-    texts = texts.join(around, same).select("doc_id", "text_hash", "text", "places")
-    half = 1 << (min_words.bit_length() - 1)
-    hashed = _hashed(texts, half).drop("text").withColumn("last", F.size("hashes") - min_words)
-    back = min_words - _gram(min_words)
-    own = F.transform(
-        "places", lambda p: F.sequence(F.greatest(p - back, F.lit(0)), F.least(p, F.col("last")))
-    )
-    begun = hashed.withColumn("begins", F.array_distinct(F.flatten(own)))
-    hashes = F.transform(
-        "begins",
-        lambda i: F.struct(
-            i.alias("at"), F.xxhash64(F.get("hashes", i), F.get("hashes", i + (min_words - half))).alias("hash")
-        ),
-    )
-    windows = materialise(begun.select("doc_id", "text_hash", F.inline(hashes)), "passage-windows")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "at")
-    origins = windows.groupBy("hash").agg(F.min(place).alias("origin"), F.count("*").alias("c")).where("c > 1")
-    later = windows.join(origins.drop("c"), "hash").where(~place.eqNullSafe(F.col("origin")))
+
+    # Marks that occur once leave first: no window that selects them is repeated.
+    lone = _lone(_numbered(firsts, "marks", "text_hash"))
+    shared = firsts.join(lone, "text_hash", "left").select("text_hash", "first", _without_listed("marks", "lone").alias("marks"))
+    shared = materialise(shared.where(F.size("marks") > 0), "passage-marks")
+
+    # Of equal contexts all but the first are repeated from end to end.
+    place = F.struct("first.none", "first.doc_id", "text_hash", "begin", F.col("last").alias("end"), "mark", "k")
+    origins = _numbered(shared, "marks", "text_hash", "first").groupBy("context").agg(F.min(place).alias("o")).select("o.*")
+    spans = origins.groupBy("text_hash", "none", "doc_id").agg(F.collect_list(F.struct("begin", "end", "mark", "k")).alias("spans"))
+    spans = materialise(spans, "passage-contexts")
+    listed = spans.select("text_hash", F.col("spans.k").alias("listed"))
+    copies = shared.join(listed, "text_hash", "left").select("text_hash", _without_listed("marks", "listed").alias("marks"))
+    whole = copies.select("text_hash", F.flatten(F.transform("marks", lambda m: F.sequence(m["begin"], m["last"]))).alias("begins"))
+
+    # Windows of the first contexts are compared one by one where their mark has other contexts.
+    lone = _lone(_numbered(spans.select("text_hash", F.transform("spans", lambda s: s.dropFields("k")).alias("spans")), "spans", "text_hash"))
+    asked = spans.join(lone, "text_hash", "left").select("text_hash", "none", "doc_id", _without_listed("spans", "lone").alias("spans"))
+    asked = materialise(asked.where(F.size("spans") > 0), "passage-spans")
+    first = _first_windows(docs, asked, min_words)
+    none = F.array().cast("array<int>")
+    begins = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"])))
+    parts = asked.join(first, "text_hash", "left").select("text_hash", F.array_except(begins, F.coalesce("known", none)).alias("begins"))
+
     # A text's repeated windows are at most its words, so a row here is bounded by its text.
-    runs = later.groupBy("text_hash").agg(F.array_sort(F.collect_set("at")).alias("begins"))
-    runs = runs.select("text_hash", _runs(F.col("begins"), min_words).alias("runs"))
+    both = whole.unionByName(parts).groupBy("text_hash").agg(F.collect_list("begins").alias("begins"))
+    sorted_begins = _held(both, F.array_sort(F.array_distinct(F.flatten("begins"))), "begins", "text_hash")
+    runs = sorted_begins.where(F.size("begins") > 0).select("text_hash", _runs(F.col("begins"), min_words).alias("runs"))
     found = firsts.select("text_hash", "first.doc_id", (F.col("first") != F.col("last")).alias("copied"), "n")
     return found.join(runs, "text_hash", "left").where("copied OR runs IS NOT NULL")
 
 
+def _first_windows(docs: DataFrame, spans: DataFrame, min_words: int) -> DataFrame:
+    """Per text of ``spans`` the places ``known`` of windows in its spans that stand nowhere earlier.
+
+    One row per distinct window comes back, however often it occurs.
+    """
+    asked = spans.select(F.col("text_hash").alias("_text_hash"), F.col("none").alias("_none"), F.col("doc_id").alias("_doc_id"), "spans")
+    texts = docs.select("doc_id", F.xxhash64(_text()).alias("text_hash"), "text")
+    texts = texts.join(asked, F.col("text_hash") == F.col("_text_hash"))
+    # Not a condition of the join: texts are shuffled here as they are for the deletion.
+    texts = texts.where(F.coalesce(F.col("doc_id") == F.col("_doc_id"), F.col("doc_id").isNull() & F.col("_none")))
+    hashed = _grams(texts, min_words, "doc_id", "text_hash", "spans")
+    windows = F.transform(
+        F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"]))),
+        lambda i: F.struct(i.alias("begin"), _window(i, min_words).alias("hash")),
+    )
+    listed = hashed.select("doc_id", "text_hash", F.inline(windows))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "begin")
+    firsts = listed.groupBy("hash").agg(F.min(place).alias("o"))
+    return firsts.groupBy("o.text_hash").agg(F.collect_list("o.begin").alias("known"))
+
+
 def _runs(begins: Column, min_words: int) -> Column:
     """Merged runs of the windows that begin at the sorted places ``begins``."""
     apart = lambda a, b: a.isNull() | b.isNull() | (b - a > min_words)

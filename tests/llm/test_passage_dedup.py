@@ -76,3 +76,10 @@ def test_passages_of_odd_documents(spark):
     assert passage_dedup.dedup_passage_documents(cases.empty(spark)).collect() == []
     same = spark.createDataFrame([(None, cases.prose(60, 1)), (3, cases.prose(60, 1)), (None, cases.prose(60, 1))], "doc_id long, text string")
     assert {(r.doc_id, r.clean_text) for r in passage_dedup.dedup_passages(same).collect()} == {(None, ""), (3, cases.prose(60, 1))}
+
+
+def test_a_text_is_split_a_bounded_number_of_times(spark):
+    """Filters on a text's words must not copy the passes over them."""
+    marks = passage_dedup._marks(cases.documents(spark), 50).where("n >= 50")
+    plan = marks._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("split(") <= 3 and len(plan) < 20_000

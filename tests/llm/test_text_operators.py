@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from readmill.llm import line_dedup, merkle, secret_scan
+from readmill.llm import merkle, secret_scan
 from readmill.llm.spans import sums_before
 from tests.llm import cases
 
@@ -98,54 +98,3 @@ def test_changed_sections(spark):
     df = spark.createDataFrame([("a.\nb.\nc.", "a.\nB.\nc.")], "x string, y string")
     marks = df.select(merkle.fingerprint(F.col("x")).alias("x"), merkle.fingerprint(F.col("y")).alias("y"))
     assert marks.select(merkle.changed_sections(F.col("x"), F.col("y")).alias("c")).first().c == [1]
-
-
-def without_repeats(docs, least):
-    """Windows by brute force: the shortest runs from and up to each line with enough words, seen before or not."""
-    white, seen, clean = " \t\n\x0b\x0c\r", set(), []
-    for _, text in docs:
-        lines = [(k, x.strip(white), len(re.findall(r"[^\x20\x09-\x0D]+", x))) for k, x in enumerate(text.split("\n"))]
-        lines, own = [x for x in lines if x[2]], []
-        gone = set()
-        for way, run in enumerate((lines, lines[::-1])):
-            for a in range(len(run)):
-                words = 0
-                for b in range(a, len(run)):
-                    words += run[b][2]
-                    if words >= least:
-                        key = (way, *(x[1] for x in run[a : b + 1]))
-                        ends = sorted((run[a][0], run[b][0]))
-                        own.append((ends[0], ends[1], key))
-                        break
-        for first, last, key in sorted(own):
-            if key in seen:
-                gone |= set(range(first, last + 1))
-            seen.add(key)
-        clean.append("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
-    return clean
-
-
-def test_line_dedup_equals_brute_force(spark):
-    rng = random.Random(9)
-    pool = [" ".join(rng.choices(cases.SYLLABLES, k=rng.choice([1, 3, 8, 12, 30]))) for _ in range(25)] + ["", "  "]
-    docs = []
-    for i in range(120):
-        lines = [rng.choice(pool) for _ in range(rng.randint(1, 12))]
-        if docs and rng.random() < 0.4:
-            lines[1:1] = docs[rng.randrange(len(docs))][1].split("\n")[:6]
-        docs.append((i, "\n".join(lines)))
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
-    found = {r.doc_id: r.clean_text for r in line_dedup.dedup_lines(df, 20).collect()}
-    assert [found[i] for i, _ in docs] == without_repeats(docs, 20)
-
-
-def test_line_dedup_of_odd_documents(spark):
-    found = line_dedup.dedup_documents(cases.clashing(cases.documents(spark), "runs clean_text mark windows")).collect()
-    assert len(found) == len(cases.rows())
-    once = sorted({(r[0], r[1] or "") for r in cases.rows() if r[0] is not None})
-    want = dict(zip((i for i, _ in once), without_repeats(once, 50)))
-    assert {r.doc_id: r.clean_text or "" for r in found if r.doc_id is not None} == want
-    assert want[3] == "" and want[1] == cases.texts()[1]  # a later copy goes whole, the first stays
-    assert cases.rows()[4][1].split("\n")[-1] not in want[6]  # a passage of 70 words in another text
-    assert all(r.n_deleted == 0 for r in found if r.doc_id in (7, 8, 9, 10))
-    assert line_dedup.dedup_documents(cases.empty(spark)).collect() == []
