@@ -33,61 +33,101 @@ with an underscore, which are dropped.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from readmill.llm.batches import map_arrow, slices
 from readmill.llm.columns import passed
+from readmill.llm.superminhash import mix, word_hashes
 from readmill.session import materialise
 
 MIN_WORDS = 50
-SPACE = r"[\x20\x09-\x0D]+"
 #: A word with the white space before it.
 TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 _PLACE_BITS = 31
+_ODD = np.uint64(0x2545F4914F6CDD1D)
 
 
 def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64(_text()).alias("text_hash"))
+
+
 def _gram(min_words: int) -> int:
     """Words of a fingerprint: a power of two, about a third of a window."""
     return 1 << max(0, (min_words // 3).bit_length() - 1)
 
 
-def _joined(rows: DataFrame, name: str, of: int, width: int, step: int, join) -> DataFrame:
-    """``rows`` with the array ``name`` of spans of ``of`` entries joined to spans of ``width`` of them.
-
-    Each pass joins up to ``step`` spans that touch or overlap. Spans that reach beyond the end hold what is there.
-    """
-    while of < width:
-        longer = min(width, of * step)
-        offsets = [*range(0, longer - of, of), longer - of]
-        rows = rows.withColumn(name, F.transform(name, lambda _, i: join(*[F.get(name, i + o) for o in offsets])))
-        of = longer
-    return rows
+def _grams(texts: list[str], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the ``_gram`` words from each word of all texts on, number of words of each text)."""
+    hashes, counts = word_hashes(texts, fold=False)
+    of = 1
+    while of < _gram(min_words):
+        hashes = _chained(hashes, [0, of])
+        of *= 2
+    return hashes, counts
 
 
-def _grams(texts: DataFrame, min_words: int, *keep: str) -> DataFrame:
-    """``keep`` and ``grams``: a hash of the ``_gram`` words (a power of two) from each word on."""
-    words = F.filter(F.split(_text(), SPACE, -1), lambda w: w != "")
-    hashed = texts.withColumn("grams", F.transform(words, lambda w: F.xxhash64(w)))
-    return _held(_joined(hashed, "grams", 1, _gram(min_words), 4, F.xxhash64), F.col("grams"), "grams", *keep)
+def _chained(hashes: np.ndarray, offsets: list[int]) -> np.ndarray:
+    """Hash of the entries at each place plus ``offsets``; beyond the end any number."""
+    made = np.zeros_like(hashes)
+    for o in offsets:
+        there = np.zeros_like(hashes)
+        there[: max(len(hashes) - o, 0)] = hashes[o:]
+        made = mix(made * _ODD + there)
+    return made
 
 
-def _window(begin: Column, min_words: int) -> Column:
-    """Hash of the window from word ``begin`` on."""
+def _windows(grams: np.ndarray, min_words: int) -> np.ndarray:
+    """Hash of the window from each word on."""
     gram = _gram(min_words)
-    return F.xxhash64(*[F.get("grams", begin + o) for o in [*range(0, min_words - gram, gram), min_words - gram]])
-
+    return _chained(grams, [*range(0, min_words - gram, gram), min_words - gram])
 
-def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
-    """``keep`` and ``made`` through a one-row generator.
 
-    Filters and lambdas on ``made`` then stay above it; the optimizer would otherwise copy the
-    passes over a text's words into each place that names their result.
-    """
-    return rows.select(*keep, F.inline(F.array(F.struct(made.alias(name)))))
+def _least(ranks: np.ndarray, width: int) -> np.ndarray:
+    """The least of the ``width`` ranks from each place on, as far as there are so many."""
+    of = 1
+    while of < width:
+        step = min(of, width - of)
+        ranks = np.concatenate((np.minimum(ranks[: len(ranks) - step], ranks[step:]), ranks[max(len(ranks) - step, 0) :]))
+        of += step
+    return ranks
+
+
+def _chosen(texts: list[str], min_words: int) -> tuple[np.ndarray, pa.ListArray]:
+    """Number of words and marks of each text, for all texts at once."""
+    grams, counts = _grams(texts, min_words)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    place = np.arange(len(grams), dtype=np.uint64)
+    low = np.uint64(_PLACE_BITS)
+    least = _least((grams >> low) << low | place, min_words - _gram(min_words) + 1)
+    selected = (least & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    # A window begins at each word but the last ones of a text.
+    windows = np.maximum(counts - (min_words - 1), 0)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + starts[owner]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (selected[at[1:]] != selected[at[:-1]]) | (owner[1:] != owner[:-1])
+    cuts = np.flatnonzero(new)
+    begin, last = at[cuts], at[np.append(cuts[1:], len(at)) - 1] if len(cuts) else at[:0]
+    whole = _windows(grams, min_words)
+    context = mix(mix(whole[begin] * _ODD + whole[last]) * _ODD + (last - begin).astype(np.uint64))
+    first = starts[owner[cuts]]
+    fields = [
+        pa.array(grams[selected[begin]].view(np.int64)),
+        pa.array((begin - first).astype(np.int32)),
+        pa.array((last - first).astype(np.int32)),
+        pa.array(context.view(np.int64)),
+    ]
+    structs = pa.StructArray.from_arrays(fields, ["mark", "begin", "last", "context"])
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[cuts], minlength=len(texts)))))
+    return counts, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), structs)
 
 
 def _marks(docs: DataFrame, min_words: int) -> DataFrame:
@@ -96,32 +136,17 @@ def _marks(docs: DataFrame, min_words: int) -> DataFrame:
     A mark's ``begin`` and ``last`` are the first and last window that select it, and ``context`` is a
     hash of all words from the first word of the one to the last word of the other.
     """
-    width = min_words - _gram(min_words) + 1
-    keep = ("doc_id", "text_hash")
-    texts = docs.select("doc_id", F.xxhash64(_text()).alias("text_hash"), "text")
-    ranked = F.transform(
-        "grams", lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 64 - _PLACE_BITS), _PLACE_BITS).bitwiseOR(i.cast("long"))
-    )
-    least = _joined(_grams(texts, min_words, *keep).withColumn("least", ranked), "least", 1, width, 6, F.least)
-    count = F.greatest(F.size("grams") - (min_words - 1), F.lit(0))
-    chosen = F.array_distinct(F.slice("least", F.lit(1), count))
-    made = _held(least, chosen, "chosen", *keep, "grams")
-    place = lambda x: x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
-    # A lesser fingerprint is selected once it is in reach, a greater one when the one before is not.
-    begin = lambda x, before: F.when(before.isNull(), 0).when(x < before, place(x) - (width - 1)).otherwise(place(before) + 1)
-
-    def mark(x: Column, k: Column) -> Column:
-        after = F.get("chosen", k + 1)
-        return F.struct(
-            F.get("grams", place(x)).alias("mark"),
-            begin(x, F.get("chosen", k - 1)).alias("begin"),
-            F.when(after.isNull(), F.size("grams") - min_words).otherwise(begin(after, x) - 1).alias("last"),
-        )
-
-    made = _held(made, F.transform("chosen", mark), "marks", *keep, "grams")
-    context = lambda m: F.xxhash64(_window(m["begin"], min_words), _window(m["last"], min_words), m["last"] - m["begin"])
-    marks = F.transform("marks", lambda m: m.withField("context", context(m)))
-    return made.select(*keep, F.size("grams").alias("n"), marks.alias("marks"))
+
+    def task(batches):
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                counts, marks = _chosen(texts, min_words)
+                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(counts.astype(np.int32)), marks]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "marks"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    marks = "array<struct<mark:long,begin:int,last:int,context:long>>"
+    return map_arrow(_keyed(docs), task, f"doc_id {kind}, text_hash long, n int, marks {marks}")
 
 
 def _numbered(rows: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -180,8 +205,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     # A text's repeated windows are at most its words, so a row here is bounded by its text.
     both = whole.unionByName(parts).groupBy("text_hash").agg(F.collect_list("begins").alias("begins"))
-    sorted_begins = _held(both, F.array_sort(F.array_distinct(F.flatten("begins"))), "begins", "text_hash")
-    runs = sorted_begins.where(F.size("begins") > 0).select("text_hash", _runs(F.col("begins"), min_words).alias("runs"))
+    ordered = F.array(F.struct(F.array_sort(F.array_distinct(F.flatten("begins"))).alias("begins")))
+    # Through a one-row generator, so that the sort is not copied into the filter and the lambdas.
+    runs = both.select("text_hash", F.inline(ordered)).where(F.size("begins") > 0).select("text_hash", _runs(F.col("begins"), min_words).alias("runs"))
     found = firsts.select("text_hash", "first.doc_id", (F.col("first") != F.col("last")).alias("copied"), "n")
     return found.join(runs, "text_hash", "left").where("copied OR runs IS NOT NULL")
 
@@ -192,16 +218,31 @@ def _first_windows(docs: DataFrame, spans: DataFrame, min_words: int) -> DataFra
     One row per distinct window comes back, however often it occurs.
     """
     asked = spans.select(F.col("text_hash").alias("_text_hash"), F.col("none").alias("_none"), F.col("doc_id").alias("_doc_id"), "spans")
-    texts = docs.select("doc_id", F.xxhash64(_text()).alias("text_hash"), "text")
-    texts = texts.join(asked, F.col("text_hash") == F.col("_text_hash"))
+    texts = _keyed(docs).join(asked, F.col("text_hash") == F.col("_text_hash"))
     # Not a condition of the join: texts are shuffled here as they are for the deletion.
     texts = texts.where(F.coalesce(F.col("doc_id") == F.col("_doc_id"), F.col("doc_id").isNull() & F.col("_none")))
-    hashed = _grams(texts, min_words, "doc_id", "text_hash", "spans")
-    windows = F.transform(
-        F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"]))),
-        lambda i: F.struct(i.alias("begin"), _window(i, min_words).alias("hash")),
+
+    def task(batches):
+        for batch in batches:
+            for part, whole in slices(batch, "text"):
+                grams, counts = _grams(whole, min_words)
+                hashes = _windows(grams, min_words)
+                spans = part.column("spans")
+                inner = spans.flatten()
+                owner = np.repeat(np.arange(part.num_rows), np.diff(spans.offsets.to_numpy()))
+                begin = inner.field("begin").to_numpy().astype(np.int64)
+                sizes = inner.field("end").to_numpy() - begin + 1
+                rows = np.repeat(owner, sizes)
+                places = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes)
+                found = hashes[places + (np.cumsum(counts) - counts)[rows]]
+                ids = [part.column(c).take(pa.array(rows)) for c in ("doc_id", "text_hash")]
+                columns = [*ids, pa.array(places.astype(np.int32)), pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "begin", "hash"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    listed = map_arrow(
+        texts.select("doc_id", "text", "text_hash", "spans"), task, f"doc_id {kind}, text_hash long, begin int, hash long"
     )
-    listed = hashed.select("doc_id", "text_hash", F.inline(windows))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "begin")
     firsts = listed.groupBy("hash").agg(F.min(place).alias("o"))
     return firsts.groupBy("o.text_hash").agg(F.collect_list("o.begin").alias("known"))

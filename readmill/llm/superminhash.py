@@ -45,7 +45,7 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one mixing of 64-bit numbers."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -65,10 +65,10 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of all texts in order, number of words of each text).
 
-    Words are runs of bytes other than ASCII white space, A-Z in lower case.
+    Words are runs of bytes other than ASCII white space, with ``fold`` A-Z in lower case.
     """
     parts = [t.encode() for t in texts]
     data = np.frombuffer(b" ".join([*parts, b""]), dtype=np.uint8)
@@ -77,21 +77,21 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     word = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     first, last = edge[0::2], edge[1::2]
-    lower = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    lower = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data) if fold else data
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((lower.astype(np.uint64) + _ONE) * _power("up", _MULTIPLIER, len(data)), out=sums[1:])
     raw = (sums[last] - sums[first]) * _power("down", _INVERSE, len(data))[first]
     ends = np.cumsum([len(p) + 1 for p in parts])
     counts = np.diff(np.searchsorted(first, np.concatenate(([0], ends))))
-    return _mix(raw + (last - first).astype(np.uint64) * _U(0xD6E8FEB86659FD93)), counts
+    return mix(raw + (last - first).astype(np.uint64) * _U(0xD6E8FEB86659FD93)), counts
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles; fewer words are one shingle."""
     hashes, counts = word_hashes(texts)
-    run = _mix(hashes + _U(words))
+    run = mix(hashes + _U(words))
     for k in range(1, words):
-        run[: len(run) - k] = _mix(run[: len(run) - k] * _U(0x2545F4914F6CDD1D) + hashes[k:])
+        run[: len(run) - k] = mix(run[: len(run) - k] * _U(0x2545F4914F6CDD1D) + hashes[k:])
     found, at = [], 0
     for n in counts.tolist():
         if n >= words:
@@ -119,7 +119,7 @@ def signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
     for draw in range(size):
         if not len(element):
             break
-        random = _mix(element + _U((draw + 1) * 0x9E3779B97F4A7C15 & ((1 << 64) - 1)))
+        random = mix(element + _U((draw + 1) * 0x9E3779B97F4A7C15 & ((1 << 64) - 1)))
         swap = draw + ((random & _U(0xFFFFFFFF)) * _U(size - draw) >> _U(32)).astype(np.int64)
         place = order[row, swap]
         order[row, swap] = order[row, draw]
@@ -156,9 +156,9 @@ def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 sets = shingle_sets(texts, words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 marks = signatures([sets[i] for i in full], bands * rows).reshape(len(full), bands, rows)
-                keys = _mix(np.arange(1, bands + 1, dtype=np.uint64) * _U(0xA0761D6478BD642F))[None, :].repeat(len(full), 0)
+                keys = mix(np.arange(1, bands + 1, dtype=np.uint64) * _U(0xA0761D6478BD642F))[None, :].repeat(len(full), 0)
                 for k in range(rows):
-                    keys = _mix(keys * _U(0xE7037ED1A0B428DB | 1) + marks[:, :, k])
+                    keys = mix(keys * _U(0xE7037ED1A0B428DB | 1) + marks[:, :, k])
                 listed: list = [[]] * len(sets)
                 for i, k in zip(full, keys.view(np.int64).tolist()):
                     listed[i] = k
