@@ -16,6 +16,8 @@ from readmill.llm.sharding import shard_table
 from readmill.llm.superminhash import near_duplicates
 from readmill.llm.token_counts import count_tokens
 from readmill.llm.toxicity import score_documents
+from readmill.llm.vector_codes import compress_vectors
+from readmill.llm.vector_codes import oracle_sql as vector_codes_sql
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(_documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crosspolytope": op8_crosspolytope,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -139,4 +146,5 @@ SELECT doc_id, n AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
   CASE WHEN same2 THEN 1.0::DOUBLE ELSE (2 * len(list_intersect(a, a2)))::DOUBLE / greatest(len(a) + len(a2), 1) END AS near_next
 FROM f
 """,
+    "op11_vector_codes": vector_codes_sql(),
 }
