@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from readmill.llm.crosspolytope import near_vectors
+from readmill.llm.divergence import audit_sources
+from readmill.llm.divergence import oracle_sql as divergence_sql
 from readmill.llm.merkle import fingerprint_documents
 from readmill.llm.mixture import mixture_table
 from readmill.llm.packing import pack_documents
@@ -68,6 +70,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
     "op11_vector_codes": op11_vector_codes,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -147,4 +154,5 @@ SELECT doc_id, n AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
 FROM f
 """,
     "op11_vector_codes": vector_codes_sql(),
+    "op12_divergence": divergence_sql(),
 }
