@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readmill.llm.chat_windows import format_table
 from readmill.llm.crosspolytope import near_vectors
 from readmill.llm.divergence import audit_sources
 from readmill.llm.divergence import oracle_sql as divergence_sql
@@ -74,6 +75,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(_documents(spark, sf_dir))
 
 
+def op13_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_table(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_vector_codes": op11_vector_codes,
     "op12_divergence": op12_divergence,
+    "op13_chat_windows": op13_chat_windows,
 }
 
 ORACLE: dict[str, str] = {
