@@ -15,6 +15,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders of local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a local one only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,9 +26,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="readmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The setting is fixed when a session starts, so the folder is remembered here.
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="readmill-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
