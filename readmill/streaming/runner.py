@@ -74,7 +74,8 @@ def batch_writer(
             rows = rows_to_write(projected, projection).observe(
                 written, F.count(F.lit(1)).alias("n")
             )
-            own.table(projection, schema).write_batch(rows, batch_id)
+            if not own.table(projection, schema).write_batch(rows, batch_id):
+                return  # an older batch, of which everything was written long ago
             failures = Q.quarantined(projected).withColumn("batch_id", F.lit(batch_id))
             _overwrite_partitions(failures, own.quarantine_path(), "topic", "batch_id")
             outcomes = projected.groupBy("outcome").count().collect()
@@ -110,14 +111,17 @@ def maintain(
     ttl_override: int | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Prune every table once, busy or idle: (metric, label, value) with the rows pruned of each.
+    """Prune, compact and vacuum every table once, busy or idle: (metric, label, value) with the rows pruned of each.
 
-    A batch job to run every hour or so beside the streams. The counts also go to the metrics.
+    A batch job to run every hour or so beside the streams: it touches committed batches only, and a batch that a stream
+    delivers again meanwhile is in the table afterwards. The counts also go to the metrics.
     """
     rows = []
     for projection in retention.resolve_ttl(projections, ttl_override):
         table = store.table(projection, table_schema(store.spark, projection, settings))
         pruned = table.prune(as_of, retention.prune_target(projection)[1])
+        table.compact()
+        table.vacuum()
         rows.append(("rows_pruned", projection.table, pruned, projection.topic))
     counters = store.spark.createDataFrame(rows, "metric string, label string, value bigint, topic string")
     # Runs are told apart from micro-batches by their sign.

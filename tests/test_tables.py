@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from readmill import files
 from readmill.operators import coalesce, merge, retention
 from readmill.plans.projections import PROJECTIONS, get_projection
+from readmill.sources import tables
 from readmill.sources.tables import EventLog, UpsertTable
 
 ROW = T.StructType([T.StructField("k", T.StringType()), T.StructField("x", T.IntegerType()), T.StructField("updated_at", T.TimestampType())])
@@ -64,31 +65,96 @@ def test_any_split_into_batches_gives_the_same_table(spark, tmp_path, seed):
         if rng.random() < 0.5:
             table.write_batch(df, batch_id)
         if rng.random() < 0.5:
-            table.compact(rng.randint(0, batch_id))
+            table.compact() if rng.random() < 0.5 else table.merge(rng.randint(0, batch_id))
             table.write_batch(written[0], 0)
         assert {r.k: r.x for r in table.read().collect()} == expected
-    table.compact(3)
-    table.vacuum()
+    table.merge(3)
+    table.vacuum(grace_s=0)
     assert {r.k: r.x for r in table.read().collect()} == expected
     assert table.read().columns == ["k", "x", "updated_at"]
+    assert len(table.runs()) == len({r.bucket for r in table.runs()})
 
 
-def test_unfinished_snapshot_is_ignored(spark, tmp_path):
+def upsert(spark, rows):
+    return spark.createDataFrame(rows, ROW_SCHEMA)
+
+
+def test_what_no_manifest_names_is_invisible(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
-    assert table.read().count() == 0
-    table.write_batch(spark.createDataFrame([("a", 1, at(1), 0, 0)], ROW_SCHEMA), 0)
-    (tmp_path / "t" / "base" / "through=5.0").mkdir(parents=True)
-    assert table.snapshot() is None
+    assert table.read().count() == 0 and table.committed() is None
+    table.write_batch(upsert(spark, [("a", 1, at(1), 0, 0)]), 0)
+    # A writer that died before its commit: its files are there, finished or not.
+    other = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
+    other._write(upsert(spark, [("a", 9, at(1), 0, 0), ("z", 9, at(1), 0, 1)]).drop("partition", "offset").withColumn("_write", F.lit(2).cast("long")))
+    assert table.committed() == 0 and {r.k: r.x for r in table.read().collect()} == {"a": 1}
+    assert table.vacuum() == [] and len(table.vacuum(grace_s=0)) == 1
     assert {r.k: r.x for r in table.read().collect()} == {"a": 1}
-    table.compact(0)
-    assert table.snapshot() == 0
 
 
-def test_compaction_applies_the_ttl(spark, tmp_path):
+def test_a_replay_after_a_prune_keeps_its_rows(spark, tmp_path):
+    """The batch is in the table, the stream fails before its own commit, upkeep prunes, the stream delivers again."""
+    table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
+    table.write_batch(upsert(spark, [("a", 1, at(1), 0, 0)]), 2)
+    table.write_batch(upsert(spark, [(k, 3, at(1), 0, 1) for k in "xyz"]), 3)
+    assert table.prune(at(9), 24) == 4 and table.read().count() == 0
+    table.vacuum(grace_s=0)
+    table.write_batch(upsert(spark, [(k, 3, at(9), 0, 1) for k in "xyz"]), 3)
+    assert {r.k for r in table.read().collect()} == set("xyz")
+    table.write_batch(upsert(spark, [("a", 1, at(9), 0, 0)]), 2)  # an older one is not news
+    table.compact()
+    table.write_batch(upsert(spark, [(k, 3, at(9), 0, 1) for k in "xyz"]), 3)
+    assert table.prune(at(9), 24) == 0 and {r.k for r in table.read().collect()} == set("xyz")
+
+
+def test_a_commit_of_another_writer_in_between(spark, tmp_path, monkeypatch):
+    table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
+    for batch in range(3):
+        table.write_batch(upsert(spark, [(k, batch, at(1 + batch), 0, 0) for k in "abc"]), batch)
+    real = table._rewrite
+
+    def slow(groups, state):
+        table.write_batch(upsert(spark, [("c", 7, at(8), 0, 0), ("d", 7, at(8), 0, 1)]), 3)  # the stream goes on meanwhile
+        return real(groups, state)
+
+    monkeypatch.setattr(UpsertTable, "_rewrite", lambda self, groups, state: slow(groups, state))
+    assert table.prune(at(6), 24) == 3
+    monkeypatch.undo()
+    assert {r.k: r.x for r in table.read().collect()} == {"c": 7, "d": 7}
+    with pytest.raises(RuntimeError, match="second stream"):
+        before = table._load()
+        table.write_batch(upsert(spark, [("q", 1, at(8), 0, 0)]), 4)
+        table._commit_batch(before, [], 5)
+
+
+def test_runs_stay_few_and_untouched_buckets_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKETS", 2)
+    monkeypatch.setattr(tables, "MAX_RUNS", 5)
+    table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
+    expected = {}
+    for batch in range(30):
+        rows = [(f"k{(batch * 7 + i) % 50}", batch, at(1), 0, i) for i in range(1 + batch % 3)]
+        expected |= {k: x for k, x, *_ in rows}
+        table.write_batch(upsert(spark, rows), batch)
+    assert {r.k: r.x for r in table.read().collect()} == expected
+    table.compact()
+    for place in tables._by_place(table.runs()).values():
+        rows = [r.rows for r in place]
+        assert all(old >= 2 * sum(rows[i + 1 :]) for i, old in enumerate(rows[:-1])) and len(rows) <= 6
+    assert {r.k: r.x for r in table.read().collect()} == expected
+    assert len(files.children(spark, f"{table.path}/manifest")) <= 2 * tables.manifest.KEPT + 2  # with checksums
+    before = {r.path for r in table.runs()}
+    (one,) = spark.createDataFrame([("k1",)], "k string").select(table._bucket().alias("b")).collect()
+    table.write_batch(upsert(spark, [("k1", 99, at(1), 0, 0)]), 30)
+    table.merge(30)
+    kept = {r.path for r in table.runs()} & before
+    assert all(f"_bucket={one.b}" not in p for p in kept)
+
+
+def test_merging_applies_the_ttl(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
     rows = [("old", 1, at(1), 0, 0), ("edge", 2, at(2), 0, 1), ("new", 3, at(3), 0, 2), ("none", 4, None, 0, 3)]
-    table.write_batch(spark.createDataFrame(rows, ROW_SCHEMA), 0)
-    table.compact(0, at(3), 24)
+    table.write_batch(upsert(spark, rows), 0)
+    table.merge(0, at(3), 24)
     assert {r.k for r in table.read().collect()} == {"edge", "new", "none"}
 
 
@@ -96,13 +162,14 @@ def test_an_idle_table_is_pruned(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path / "t"), ("k",), ROW)
     assert table.prune(at(9), 24) == 0
     rows = [("old", 1, at(1), 0, 0), ("new", 3, at(3), 0, 2), ("none", 4, None, 0, 3)]
-    table.write_batch(spark.createDataFrame(rows, ROW_SCHEMA), 0)
-    table.compact(0)
+    table.write_batch(upsert(spark, rows), 0)
+    table.compact()
     assert [table.prune(at(d), 24) for d in (2, 3, 3, 20)] == [0, 1, 0, 1]
     assert {r.k for r in table.read().collect()} == {"none"}
-    table.write_batch(spark.createDataFrame(rows, ROW_SCHEMA), 0)  # a replay brings nothing back
-    table.vacuum()
-    assert {r.k for r in table.read().collect()} == {"none"} and table.snapshot() == 0
+    table.write_batch(upsert(spark, [("none", 5, None, 0, 3)]), 1)
+    table.write_batch(upsert(spark, rows), 0)  # a replay of an older batch brings nothing back
+    table.vacuum(grace_s=0)
+    assert {r.k: r.x for r in table.read().collect()} == {"none": 5} and table.committed() == 1
 
 
 def test_event_log_replay_and_days(spark, tmp_path):
@@ -114,10 +181,45 @@ def test_event_log_replay_and_days(spark, tmp_path):
     assert {(r.id, r.x) for r in log.read().collect()} == {("a", 1), ("b", 2), ("n", 3), ("c", 4)}
     assert {r.id for r in log.read(at(3, 6), 24).collect()} == {"c", "n"}
     assert {r.id for r in log.read(at(3, 5), 24).collect()} == {"b", "c", "n"}
-    assert log.drop_expired_days(at(3, 6), None) == []
-    assert log.drop_expired_days(at(3, 6), 24) == ["event_date=2024-01-01"]
+    assert log.prune(at(3, 5), None) == 0 and log.prune(at(3, 5), 24) == 1
     assert {r.id for r in log.read().collect()} == {"b", "c", "n"}
-    assert any("HIVE_DEFAULT" in name for name in files.children(spark, log._log))
+    assert any(r.day is None and "HIVE_DEFAULT" in r.path for r in log.runs())
+
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, EVENT_SCHEMA)
+
+
+def test_the_border_day_is_pruned_to_the_row(spark, tmp_path):
+    log = EventLog(spark, str(tmp_path / "t"), ("id",), EVENT)
+    rows = [(f"{d}-{h}", 1, at(d, h), 0, 24 * d + h) for d in (1, 2, 3) for h in range(24)] + [("none", 1, None, 0, 0)]
+    log.write_batch(events(spark, rows[:40]), 0)
+    log.write_batch(events(spark, rows[40:]), 1)
+    limit = at(2, 7)
+    gone = [r for r in rows if r[2] is not None and r[2] < limit]
+    assert log.prune(at(3, 7), 24) == len(gone) == 31
+    assert {r.id for r in log.read().collect()} == {r[0] for r in rows} - {r[0] for r in gone}
+    assert log.prune(at(3, 7), 24) == 0
+    log.vacuum(grace_s=0)
+    # What was pruned is new again, as in a table from which it was deleted; what stayed is not.
+    log.write_batch(events(spark, [("2-6", 5, at(3), 0, 0), ("2-7", 5, at(3), 0, 1)]), 2)
+    assert {r.id: r.x for r in log.read().collect() if r.id in ("2-6", "2-7")} == {"2-6": 5, "2-7": 1}
+
+
+def test_new_ids_read_no_old_run(spark, tmp_path, monkeypatch):
+    log = EventLog(spark, str(tmp_path / "t"), ("id",), EVENT)
+    for batch in range(3):
+        log.write_batch(events(spark, [(f"{batch}-{i}", batch, at(1 + batch), 0, i) for i in range(3_000)]), batch)
+    new = events(spark, [(f"new-{i}", 0, at(5), 0, i) for i in range(500)])
+    assert len(log.runs()) == 3 * tables.BUCKETS
+    assert len(log.may_hold(new, log.runs())) <= 2  # by chance, one key and run in fifty thousand
+    again = events(spark, [("1-77", 9, at(9), 0, 0)])  # with another time
+    (run,) = [r for r in log.may_hold(again, log.runs()) if r.day == "2024-01-02"]
+    log.write_batch(again, 3)
+    log.compact()
+    log.write_batch(events(spark, [("2-5", 9, None, 0, 0), ("x", 9, None, 0, 1)]), 4)
+    found = {r.id: r.x for r in log.read().collect()}
+    assert len(found) == log.read().count() == 9_001 and (found["1-77"], found["2-5"], found["x"]) == (1, 2, 9)
 
 
 def test_prune_is_strict_and_keeps_null(spark):

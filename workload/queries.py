@@ -715,7 +715,7 @@ def stream_metrics(spark, sf_dir):
 
 @query
 def changelog_compaction(spark, sf_dir):
-    """Two logged batches, a snapshot of the first with a TTL, a replay, a vacuum."""
+    """Two batches, the first merged with a TTL, a replay, a vacuum."""
     configure(spark)
     projection = get_projection("cm_state")
     schema = table_schema(spark, projection)
@@ -725,10 +725,10 @@ def changelog_compaction(spark, sf_dir):
     for batch_id, half in enumerate(halves):
         projected = project_messages(messages.filter(half), projection, as_of=as_of())
         table.write_batch(rows_to_write(projected, projection), batch_id)
-    table.compact(0, AS_OF_MOMENT, 24)
+    table.merge(0, AS_OF_MOMENT, 24)
     replayed = project_messages(messages.filter(halves[0]), projection, as_of=as_of())
     table.write_batch(rows_to_write(replayed, projection), 0)
-    table.vacuum()
+    table.vacuum(grace_s=0)
     return table.read().select(
         "asset_id", "edge_id", "region_id", "baseline_id", "lifecycle", "overall_status", micros("as_of")
     )
@@ -746,7 +746,7 @@ def _aged(spark: SparkSession, sf_dir: str) -> tuple[Store, DataFrame]:
         messages = M.cm_state(events(spark, sf_dir).where(own))
         projected = project_messages(messages, projection, as_of=moment)
         table.write_batch(rows_to_write(projected, projection), batch_id)
-    table.compact(1)
+    table.compact()
     return store, maintain(store, [projection], AS_OF_MOMENT)
 
 
