@@ -34,6 +34,8 @@ from readmill.sources import key_filter, manifest
 from readmill.sources.manifest import Manifest, Run
 
 BUCKETS = 16
+#: Buckets of each day of an event log.
+DAY_BUCKETS = 4
 MAX_RUNS = 12
 #: Seconds before files that no manifest names are taken for left-overs.
 GRACE_S = 3_600
@@ -79,8 +81,11 @@ class _Table:
             return self.spark.createDataFrame([], self._stored())
         return self.spark.read.schema(self._stored()).parquet(*paths)
 
+    def _buckets(self) -> int:
+        return BUCKETS
+
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("int")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self._buckets())).cast("int")
 
     def _write(self, rows: DataFrame, *by: str) -> str:
         """Write rows as new runs, one file or so of each; returns their folder."""
@@ -229,6 +234,9 @@ class UpsertTable(_Table):
 class EventLog(_Table):
     time_column: str = "time"
 
+    def _buckets(self) -> int:
+        return DAY_BUCKETS
+
     def _day(self) -> Column:
         return F.date_add(
             F.lit(date(1970, 1, 1)),

@@ -211,7 +211,7 @@ def test_new_ids_read_no_old_run(spark, tmp_path, monkeypatch):
     for batch in range(3):
         log.write_batch(events(spark, [(f"{batch}-{i}", batch, at(1 + batch), 0, i) for i in range(3_000)]), batch)
     new = events(spark, [(f"new-{i}", 0, at(5), 0, i) for i in range(500)])
-    assert len(log.runs()) == 3 * tables.BUCKETS
+    assert len(log.runs()) == 3 * tables.DAY_BUCKETS
     assert len(log.may_hold(new, log.runs())) <= 2  # by chance, one key and run in fifty thousand
     again = events(spark, [("1-77", 9, at(9), 0, 0)])  # with another time
     (run,) = [r for r in log.may_hold(again, log.runs()) if r.day == "2024-01-02"]

@@ -532,3 +532,17 @@ SELECT asset AS asset_id,
   CASE WHEN e % 2 = 0 THEN 'CONFIG_STATUS_DEGRADED' ELSE 'CONFIG_STATUS_UNSPECIFIED' END AS overall_status,
   CASE WHEN e % 6 <> 3 THEN us END AS as_of
 FROM l"""
+
+ORACLE["upkeep_beside_stream"] = f"""
+WITH {E}, {latest("u")}
+SELECT asset AS asset_id, 'base-' || (e % 7) AS baseline_id, {AS_OF_US} AS updated_at FROM l"""
+
+ORACLE["leveled_runs"] = f"""
+WITH {E}, {latest("u")}
+SELECT asset AS asset_id, 'base-' || (e % 7) AS baseline_id, CASE WHEN e % 6 <> 3 THEN us END AS as_of, TRUE AS few_runs FROM l"""
+
+ORACLE["event_log_upkeep"] = f"""
+WITH {E}
+SELECT {EVENT_COLUMNS}, asset AS subject, {EVENT_SEVERITY}, {EVENT_TIME} AS time,
+  (SELECT count(*) FROM e WHERE NOT ({EVENT_KEPT})) AS pruned
+FROM e WHERE {EVENT_KEPT}"""

@@ -16,8 +16,8 @@ from readmill.operators import coalesce, decode, explode, merge, monitor, retent
 from readmill.operators import quarantine as Q
 from readmill.operators.provenance import Resolver, fieldwise, message_pair, pair_or_derive
 from readmill.plans.batch import Settings, project_messages, read_model, rows_to_write
-from readmill.plans.projections import get_projection
-from readmill.session import configure, scratch_path
+from readmill.plans.projections import get_projection, table_columns
+from readmill.session import configure, materialise, scratch_path
 from readmill.streaming.runner import Store, maintain, run_available, table_schema
 from workload import messages as M
 
@@ -766,6 +766,61 @@ def pruned_rows(spark, sf_dir):
     return spark.read.parquet(store.metrics_path()).select("metric", "label", "value")
 
 
+@query
+def upkeep_beside_stream(spark, sf_dir):
+    """A batch that upkeep pruned before its stream noted it as done, delivered again."""
+    configure(spark)
+    projection = get_projection("cm_state")
+    store = Store(spark, scratch_path(spark, "beside"))
+    table = store.table(projection, table_schema(spark, projection))
+    old = F.col("user_id") % 3 == 0
+    past = as_of() - F.expr("INTERVAL 3 DAYS")
+    for batch_id, own, moment in ((0, ~old, as_of()), (1, old, past), (1, old, as_of())):
+        projected = project_messages(M.cm_state(events(spark, sf_dir).where(own)), projection, as_of=moment)
+        table.write_batch(rows_to_write(projected, projection), batch_id)
+        if moment is past:
+            maintain(store, [projection], AS_OF_MOMENT)
+    return table.read().select("asset_id", "baseline_id", micros("updated_at"))
+
+
+@query
+def leveled_runs(spark, sf_dir):
+    """A table after many batches: its rows, and the runs of the bucket that has most."""
+    configure(spark)
+    projection = get_projection("cm_state")
+    table = Store(spark, scratch_path(spark, "runs")).table(projection, table_schema(spark, projection))
+    projected = project_messages(M.cm_state(events(spark, sf_dir)), projection, as_of=as_of())
+    wanted = [*table_columns(projection, projected), "partition", "offset", "outcome"]
+    rows = materialise(projected.select(*dict.fromkeys(wanted)).withColumn("slice", F.expr(f"offset * 8 div {2 * M.HALF}")), "slices")
+    for batch_id in range(8):
+        table.write_batch(rows_to_write(rows.where(F.col("slice") == batch_id).drop("slice"), projection), batch_id)
+    table.compact()
+    runs = [r.bucket for r in table.runs()]
+    most = max(map(runs.count, runs))
+    # A bucket's runs at least double in length.
+    bound = table.read().count().bit_length() + 1
+    return table.read().select("asset_id", "baseline_id", micros("as_of"), F.lit(most <= bound).alias("few_runs"))
+
+
+@query
+def event_log_upkeep(spark, sf_dir):
+    """An event log of three batches, each repeating events of the one before, pruned to the row; ``pruned`` rows went."""
+    configure(spark)
+    projection = get_projection("tactical_events")
+    log = Store(spark, scratch_path(spark, "events")).table(projection, table_schema(spark, projection))
+    source = events(spark, sf_dir)
+    part = F.col("event_id") % 3
+    for batch_id in range(3):
+        again = (part == batch_id - 1) & (F.col("event_id") % 7 == 2)
+        messages = M.cloudevents(source.where((part == batch_id) | again))
+        projected = project_messages(messages, projection, as_of=as_of())
+        log.write_batch(materialise(rows_to_write(projected, projection), "event-batch"), batch_id)
+    gone = log.prune(AS_OF_MOMENT, 240)
+    log.vacuum(grace_s=0)
+    kept = log.read()
+    return kept.select("id", "edge_id", "region_id", "subject", "severity", micros("time"), F.lit(gone).cast("bigint").alias("pruned"))
+
+
 # ---------------------------------------------------------------------- flagship
 
 
