@@ -13,6 +13,7 @@ from readmill.functions.scalars import link_severed
 
 # Lag when there is no reading, topics and singleton row of the status.
 LAG_UNKNOWN = -1
+NOT_COMMITTED = -1001
 BRIDGE_TOPICS = ("raw-sensor-stream", "tactical-events")
 STATUS_ID = "edge"
 
@@ -21,14 +22,20 @@ FALLBACK_WINDOW_S = 60
 
 
 def partition_lag() -> Column:
-    """Messages still to be read; uncommitted partitions count from their low mark."""
+    """Messages still to be read; uncommitted partitions count from their low mark, and are NULL where that is unknown."""
     position = F.when(F.col("committed") >= 0, F.col("committed")).otherwise(F.col("lo"))
-    return F.greatest(F.lit(0), F.col("hi") - position)
+    behind = F.col("hi") - position
+    return F.when(behind.isNotNull(), F.greatest(F.lit(0), behind))
+
+
+def _known_sum() -> Column:
+    """Summed lag; NULL when that of any partition is unknown."""
+    return F.when(F.count_if(partition_lag().isNull()) == 0, F.sum(partition_lag()))
 
 
 def consumer_lag(offsets: DataFrame) -> DataFrame:
-    """Lag per topic over (topic, partition, lo, hi, committed)."""
-    return offsets.groupBy("topic").agg(F.sum(partition_lag()).alias("lag"))
+    """Lag per topic over (topic, partition, lo, hi, committed); -1 where a partition's lag is unknown."""
+    return offsets.groupBy("topic").agg(F.coalesce(_known_sum(), F.lit(LAG_UNKNOWN)).alias("lag"))
 
 
 def edge_buffer_status(
@@ -41,11 +48,11 @@ def edge_buffer_status(
 ) -> DataFrame:
     """The singleton status row.
 
-    A group without committed rows has an unknown lag (-1), never 0; a missing link
+    A group without rows, or with a partition whose lag is unknown, has an unknown lag (-1), never 0; a missing link
     row leaves the link unsevered. Either makes the probe unhealthy.
     """
     read = offsets.filter((F.col("group") == group) & F.col("topic").isin(*topics)).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(partition_lag()).alias("_lag")
+        F.count(F.lit(1)).alias("_rows"), _known_sum().alias("_lag")
     )
     link = link_status.filter(F.col("proxy") == proxy).agg(
         F.count(F.lit(1)).alias("_links"),
@@ -53,7 +60,7 @@ def edge_buffer_status(
     )
     # Both sides are global aggregates: exactly one row each.
     both = read.withColumn("_one", F.lit(1)).join(link.withColumn("_one", F.lit(1)), "_one")
-    known = F.col("_rows") > 0
+    known = (F.col("_rows") > 0) & F.col("_lag").isNotNull()
     return both.select(
         F.lit(STATUS_ID).alias("id"),
         F.when(known, F.col("_lag")).otherwise(F.lit(LAG_UNKNOWN)).cast("bigint").alias("bridge_group_lag"),
@@ -63,15 +70,19 @@ def edge_buffer_status(
     )
 
 
-def progress_offsets(progress: dict, group: str) -> list[tuple[str, str, int, int, int, int]]:
-    """(group, topic, partition, lo, hi, committed) rows of one streaming progress report."""
+def progress_offsets(progress: dict, group: str) -> list[tuple[str, str, int, None, int, int]]:
+    """(group, topic, partition, lo, hi, committed) rows of one streaming progress report.
+
+    The report does not tell low marks, so ``lo`` is unknown. Sources without partitions give no rows.
+    """
     rows = []
     for source in progress.get("sources", []):
         done, latest = source.get("endOffset") or {}, source.get("latestOffset") or {}
-        for topic, partitions in latest.items():
+        named = {t: p for t, p in latest.items() if isinstance(p, dict)} if isinstance(latest, dict) else {}
+        for topic, partitions in named.items():
             for partition, high in partitions.items():
-                committed = done.get(topic, {}).get(partition, -1)
-                rows.append((group, topic, int(partition), 0, int(high), int(committed)))
+                committed = done.get(topic, {}).get(partition, NOT_COMMITTED)
+                rows.append((group, topic, int(partition), None, int(high), int(committed)))
     return rows
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from readmill.operators.coalesce import ARRIVAL, coalesce_messages, earliest_per_key, latest_per_key
 from readmill.operators.decode import decoder_for
+from readmill.operators.monitor import FALLBACK_WINDOW_S
 from readmill.operators.provenance import Resolver
 from readmill.operators.quarantine import good_rows
 from readmill.plans.projections import Projection, project, table_columns
@@ -21,6 +22,9 @@ class Settings:
 
     ``coalesce`` is "row_key" (decode, then keep the last good row of a table key) or
     "message_key" (keep the last message of a message key, then decode).
+
+    The last two are the window of the streams' fallback reports, and how long a count that was
+    not reported is remembered, in seconds.
     """
 
     resolver: Resolver = Resolver()
@@ -28,6 +32,8 @@ class Settings:
     coalesce: str = "row_key"
     descriptor_path: str | None = None
     proto_package: str = ""
+    fallback_window_s: int = FALLBACK_WINDOW_S
+    fallback_keep_s: int = 24 * 3600
 
 
 def project_messages(

@@ -6,6 +6,7 @@ fails its query, which restarts from the checkpoint: nothing is dropped silently
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
@@ -20,6 +21,8 @@ from readmill.operators import retention
 from readmill.plans.batch import Settings, project_messages, rows_to_write
 from readmill.plans.projections import Projection, table_columns
 from readmill.sources.tables import EventLog, UpsertTable, _overwrite_partitions
+from readmill.streaming import offsets
+from readmill.streaming.fallbacks import FallbackReports, fallback_ticks
 
 # Fixed value: milliseconds a micro-batch may wait.
 TRIGGER_MS = 200
@@ -42,6 +45,15 @@ class Store:
     def metrics_path(self) -> str:
         return f"{self.root}/pipeline_metrics"
 
+    def fallbacks(self, projection: Projection, settings: Settings = Settings()) -> FallbackReports:
+        """Throttled reports of rows whose origin fell back to the site's defaults."""
+        window, keep = settings.fallback_window_s, settings.fallback_keep_s
+        return FallbackReports(self.spark, self.root, projection.topic, window, keep)
+
+    def consumed(self) -> DataFrame:
+        """(topic, partition, committed): how far the streams have come."""
+        return offsets.consumed(self.spark, self.root)
+
 
 def table_schema(spark: SparkSession, projection: Projection, settings: Settings = Settings()):
     """Schema of the read model, taken from the projection itself."""
@@ -78,11 +90,24 @@ def batch_writer(
                 return  # an older batch, of which everything was written long ago
             failures = Q.quarantined(projected).withColumn("batch_id", F.lit(batch_id))
             _overwrite_partitions(failures, own.quarantine_path(), "topic", "batch_id")
-            outcomes = projected.groupBy("outcome").count().collect()
-            _write_metrics(
-                own, projection, batch_id, consumed.get["n"], written.get["n"],
-                {r["outcome"]: r["count"] for r in outcomes},
-            )
+            fell_back = F.col("provenance_fallback") if projection.origin == "fieldwise" else F.lit(False)
+            # One row a partition and outcome.
+            found = projected.groupBy("partition", "outcome").agg(
+                F.count(F.lit(1)).alias("n"), F.max("offset").alias("last"), F.count_if(fell_back).alias("fallbacks")
+            ).collect()
+            if any(r["fallbacks"] for r in found if r["outcome"] == Q.WRITTEN):
+                moment = F.current_timestamp() if as_of is None else as_of
+                ticks = fallback_ticks(projected, projection.keys[0], moment)
+                own.fallbacks(projection, settings).write_batch(ticks, batch_id)
+            outcomes, through = Counter(), {}
+            for row in found:
+                outcomes[row["outcome"]] += row["n"]
+                if row["partition"] is not None and row["last"] is not None:
+                    through[row["partition"]] = max(row["last"], through.get(row["partition"], row["last"]))
+            _write_metrics(own, projection, batch_id, consumed.get["n"], written.get["n"], outcomes)
+            if through:
+                positions = offsets.consumed_rows(session, projection.topic, batch_id, through)
+                _overwrite_partitions(positions.coalesce(1), offsets.consumed_path(own.root), "topic", "batch_id")
         finally:
             projected.unpersist()
 

@@ -34,8 +34,18 @@ def test_edge_buffer_status(spark):
 
 
 def test_progress_offsets():
-    progress = {"sources": [{"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 9, "1": 3}}}, {}]}
-    assert monitor.progress_offsets(progress, "g") == [("g", "t", 0, 0, 9, 5), ("g", "t", 1, 0, 3, -1)]
+    files = {"endOffset": {"logOffset": 3}, "latestOffset": {"logOffset": 4}}
+    progress = {"sources": [{"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 9, "1": 3}}}, {}, files]}
+    assert monitor.progress_offsets(progress, "g") == [("g", "t", 0, None, 9, 5), ("g", "t", 1, None, 3, -1001)]
+
+
+def test_lag_without_a_low_mark_is_unknown(spark):
+    rows = [("g", "a", 0, None, 10, 4), ("g", "a", 1, None, 10, -1001), ("g", "b", 0, None, 10, 4)]
+    offsets = spark.createDataFrame(rows, OFFSETS)
+    assert {r.topic: r.lag for r in monitor.consumer_lag(offsets).collect()} == {"a": -1, "b": 6}
+    assert [tuple(r) for r in status(spark, [("g", "tactical-events", 0, None, 9, -1)], [("hq-link", True, [])])] == [
+        ("edge", -1, False, False)
+    ]
 
 
 def greedy(events, window):

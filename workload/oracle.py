@@ -474,8 +474,11 @@ SELECT case_name, 'edge' AS id, CASE WHEN case_name = 'case-2' THEN -1 ELSE lag
 FROM t, (VALUES ('case-1'), ('case-2'), ('case-3')) AS v(case_name)"""
 
 
-def throttle(ticks: str, key: str, window: int) -> str:
-    """Follow each report to the next one at least a window later."""
+def throttle(ticks: str, key: str, window: int, keep: int | None = None) -> str:
+    """Follow each report to the next one at least a window later; counts older than ``keep`` are forgotten."""
+    left_out = "b.before - a.before - 1"
+    if keep is not None:
+        left_out = f"CASE WHEN b.second - a.second > {keep} THEN 0 ELSE {left_out} END"
     same = " AND ".join(f"a.{k} = b.{k}" for k in key.split(", "))
     columns = ", ".join(f"b.{k}" for k in key.split(", "))
     return f"""
@@ -487,7 +490,7 @@ r AS (
   (SELECT *, CAST(0 AS BIGINT) AS suppressed FROM j
    QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY second) = 1)
   UNION ALL
-  SELECT b.*, b.before - a.before - 1 AS suppressed
+  SELECT b.*, {left_out} AS suppressed
   FROM r a JOIN j b ON {same} AND a.following = b.second)
 SELECT {key}, second, suppressed FROM r"""
 
@@ -505,6 +508,20 @@ ORACLE["projected_fallbacks"] = throttle(
     "topic, subject", 86400,
 )
 
+ORACLE["stream_fallbacks"] = throttle(
+    f"{E}, t AS (SELECT 'asset-cm-state' AS topic, CASE WHEN e % 3 = 1 THEN 'edge-01' ELSE 'edge-' || (u % 5) END AS edge_id, "
+    "asset AS row_key, (e * 7919) % 1000003 AS second, count(*) AS n FROM e WHERE e % 3 = 1 OR e % 4 = 1 GROUP BY ALL)",
+    "topic, edge_id, row_key", 21600, 86400,
+)
+
+ORACLE["stream_lag"] = f"""
+WITH {E}, p AS (
+  SELECT u % 4 AS partition, min(off) AS lo, max(off) + 1 AS hi,
+    coalesce(max(off) FILTER (WHERE off < {HALF} AND u % 4 < 3) + 1, -1001) AS committed FROM e GROUP BY 1),
+l AS (SELECT *, greatest(0, hi - CASE WHEN committed >= 0 THEN committed ELSE lo END) AS lag FROM p)
+SELECT 'asset-cm-state' AS topic, CAST(partition AS INTEGER) AS partition, committed, lag,
+  CAST(sum(lag) OVER () AS BIGINT) AS topic_lag FROM l"""
+
 ORACLE["stream_metrics"] = f"""
 WITH {E}
 SELECT 'messages_consumed' AS metric, 'asset-logistics-status' AS label, count(*) AS value FROM e

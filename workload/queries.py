@@ -18,6 +18,7 @@ from readmill.operators.provenance import Resolver, fieldwise, message_pair, pai
 from readmill.plans.batch import Settings, project_messages, read_model, rows_to_write
 from readmill.plans.projections import get_projection, table_columns
 from readmill.session import configure, materialise, scratch_path
+from readmill.streaming import offsets
 from readmill.streaming.runner import Store, maintain, run_available, table_schema
 from workload import messages as M
 
@@ -713,6 +714,34 @@ def stream_metrics(spark, sf_dir):
     return counters.groupBy("metric", "label").agg(F.sum("value").alias("value"))
 
 
+def _arrival_clock() -> Column:
+    """A second for every message that rises with its arrival."""
+    return F.timestamp_seconds(F.expr(f"offset div {M.SCALE}"))
+
+
+@query
+def stream_fallbacks(spark, sf_dir):
+    """Reports that a stream writes beside its table, throttled over four micro-batches; old counts are forgotten."""
+    configure(spark)
+    store, projection = Store(spark, scratch_path(spark, "fallbacks")), get_projection("cm_state")
+    settings = Settings(fallback_window_s=6 * 3600, fallback_keep_s=24 * 3600)
+    run_available(projection, M.cm_state(M.event_stream(spark, sf_dir)), store, settings, as_of=_arrival_clock())
+    return store.fallbacks(projection, settings).read()
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """How far a stream has come that got the first half of three partitions, against all messages."""
+    configure(spark)
+    store, projection = Store(spark, scratch_path(spark, "lag")), get_projection("cm_state")
+    seen = (F.col("offset") < F.lit(M.HALF)) & (F.col("partition") < 3)
+    run_available(projection, M.cm_state(M.event_stream(spark, sf_dir)).where(seen), store, as_of=as_of())
+    ends = offsets.ends_of(M.cm_state(events(spark, sf_dir)))
+    read = offsets.stream_offsets(ends, store.consumed(), "projector")
+    total = monitor.consumer_lag(read).withColumnRenamed("lag", "topic_lag")
+    return read.join(total, "topic").select("topic", "partition", "committed", monitor.partition_lag().alias("lag"), "topic_lag")
+
+
 @query
 def changelog_compaction(spark, sf_dir):
     """Two batches, the first merged with a TTL, a replay, a vacuum."""
