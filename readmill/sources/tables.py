@@ -88,9 +88,13 @@ class _Table:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self._buckets())).cast("int")
 
     def _write(self, rows: DataFrame, *by: str) -> str:
-        """Write rows as new runs, one file or so of each; returns their folder."""
+        """Write rows as new runs, one file or so of each; returns their folder.
+
+        The number of tasks is given, as small batches would otherwise be put together into one that opens file after file.
+        """
         folder = f"runs/{uuid.uuid4().hex}"
-        placed = rows.withColumn(_BUCKET, self._bucket()).repartition(*by, _BUCKET)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = rows.withColumn(_BUCKET, self._bucket()).repartition(tasks, *by, _BUCKET)
         placed.write.partitionBy(*by, _BUCKET).parquet(f"{self.path}/{folder}")
         return folder
 
