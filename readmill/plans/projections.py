@@ -86,6 +86,8 @@ class Projection:
     # Producer errors found before the skip rule is reached, and after it.
     early_errors: Check = _no_checks
     late_errors: Check = _no_checks
+    # Where the first key column is read, with the message key as its default; None: ``columns`` makes it.
+    key_path: str | None = None
     integers: tuple[str, ...] = ()
     # "fieldwise" or "pair" and the block holding the message's own origin.
     origin: str | None = None
@@ -332,14 +334,14 @@ def _region_list(name: str) -> Callable[[Message], dict[str, Column]]:
 def _region(name: str, topic: str, message: str, columns, **more) -> Projection:
     return Projection(
         name=name, topic=topic, table=name, decode_as=message, mode="upsert",
-        keys=("region_id",), columns=columns, skip=_missing(_asset_id("region_id")), **more,
+        keys=("region_id",), key_path="region_id", columns=columns, skip=_missing(_asset_id("region_id")), **more,
     )
 
 
 def _asset(name, topic, table, decode_as, columns, id_path="asset_id", **more) -> Projection:
     return Projection(
         name=name, topic=topic, table=table, decode_as=decode_as, mode="upsert",
-        keys=("asset_id",), columns=columns, skip=_missing(_asset_id(id_path)),
+        keys=("asset_id",), key_path=id_path, columns=columns, skip=_missing(_asset_id(id_path)),
         asset_ttl_hours=24, **more,
     )
 
@@ -402,7 +404,7 @@ _ALL = (
     Projection(
         name="asset_element_telemetry", topic="asset-element-telemetry",
         table="asset_element_telemetry", decode_as="json", mode="upsert",
-        keys=("asset_id",), columns=_element_telemetry,
+        keys=("asset_id",), key_path="asset_id", columns=_element_telemetry,
         skip=lambda m: m.id_or_key("asset_id").isNull()
         | V.not_array(m.block("elements")),
         origin="pair", asset_ttl_hours=24, variants=("elements", "operational"),
@@ -416,15 +418,6 @@ _ALL = (
     ),
 )
 
-# Where the key column comes from, for projections whose key is "field or message key".
-_ID_PATHS = {
-    "logistics_status": "status.asset_id",
-    "telemetry_latest": "asset.asset_id",
-    "region_fleet_summary": "region_id",
-    "region_top_factors": "region_id",
-    "region_wear_trends": "region_id",
-}
-
 PROJECTIONS: dict[str, Projection] = {p.name: p for p in _ALL}
 
 
@@ -474,9 +467,8 @@ def project(
         [(V.integer_overflow(m.at(p)), f"{p} is out of range") for p in projection.integers]
     )
     columns = projection.columns(m)
-    if "asset_id" in projection.keys or "region_id" in projection.keys:
-        key = projection.keys[0]
-        columns = {key: m.id_or_key(_ID_PATHS.get(projection.name, key))} | columns
+    if projection.key_path is not None:
+        columns = {projection.keys[0]: m.id_or_key(projection.key_path)} | columns
 
     has_value = F.col("v").isNotNull() & ~bad_key
     status = {

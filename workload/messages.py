@@ -182,7 +182,7 @@ def logistics_status(events: DataFrame) -> DataFrame:
         .otherwise(F.lit(None).cast("string"))
         .alias("status_revision"),
         rfc3339(F.col("ts")).alias("computed_at"),
-        F.lit("not-a-date").alias("latest_telemetry_sample_time"),
+        F.lit("some time ago").alias("latest_telemetry_sample_time"),
     )
     origin = F.struct(
         unless(e % 4 == 1, F.concat(F.lit("edge-"), F.col("user_id") % 5)).alias("edge_id"),

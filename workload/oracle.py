@@ -508,6 +508,13 @@ ORACLE["projected_fallbacks"] = throttle(
     "topic, subject", 86400,
 )
 
+ORACLE["proj_configured_fields"] = ORACLE["proj_cm_state"]
+
+OTHER = "CASE WHEN e % 6 = 1 THEN 'other' ELSE asset END"
+ORACLE["proj_configured_handler"] = f"""
+WITH {E}, {latest(OTHER, "e % 97 <> 13")}
+SELECT {OTHER} AS asset_id, CASE WHEN e % 2 = 0 THEN e % 1000 ELSE 0 END AS status_revision, {AS_OF_US} AS updated_at FROM l"""
+
 ORACLE["stream_fallbacks"] = throttle(
     f"{E}, t AS (SELECT 'asset-cm-state' AS topic, CASE WHEN e % 3 = 1 THEN 'edge-01' ELSE 'edge-' || (u % 5) END AS edge_id, "
     "asset AS row_key, (e * 7919) % 1000003 AS second, count(*) AS n FROM e WHERE e % 3 = 1 OR e % 4 = 1 GROUP BY ALL)",

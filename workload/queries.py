@@ -16,6 +16,7 @@ from readmill.operators import coalesce, decode, explode, merge, monitor, retent
 from readmill.operators import quarantine as Q
 from readmill.operators.provenance import Resolver, fieldwise, message_pair, pair_or_derive
 from readmill.plans.batch import Settings, project_messages, read_model, rows_to_write
+from readmill.plans.mapping import configured_projections
 from readmill.plans.projections import get_projection, table_columns
 from readmill.session import configure, materialise, scratch_path
 from readmill.streaming import offsets
@@ -222,7 +223,34 @@ def _model(messages: DataFrame, name: str, settings: Settings = Settings()) -> D
 
 @query
 def proj_cm_state(spark, sf_dir):
-    rows = _model(M.cm_state(events(spark, sf_dir)), "cm_state")
+    return _cm_columns(_model(M.cm_state(events(spark, sf_dir)), "cm_state"))
+
+
+#: The configuration-management table as a deployment would describe it.
+CONFIGURED = {
+    "name": "configured_state", "topic": "asset-cm-state", "table": "configured_state",
+    "key": {"column": "asset_id", "path": "asset_id"},
+    "fields": {
+        "baseline_id": "baseline_id",
+        "lifecycle": {
+            "path": "lifecycle", "rule": "enum", "names": {"2": "LIFECYCLE_ACTIVE"}, "default": "LIFECYCLE_UNSPECIFIED",
+        },
+        "overall_status": {"path": "overall_status", "rule": "enum", "default": "CONFIG_STATUS_UNSPECIFIED"},
+        "last_alerted_status": {
+            "path": "last_alerted_status", "rule": "enum", "names": {4: "CONFIG_STATUS_NOT_MISSION_CAPABLE"},
+        },
+        "as_of": {"path": "as_of_ns", "rule": "ns_instant"},
+        "last_observed_at": {"path": "last_observed_at_ns", "rule": "ns_instant"},
+        "installed": {"path": "installed", "rule": "list"},
+        "mod_status": {"path": "mod_status", "rule": "list"},
+        "discrepancies": {"path": "discrepancies", "rule": "list"},
+    },
+    "origin": {"kind": "fieldwise"},
+    "asset_ttl_hours": 24,
+}
+
+
+def _cm_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         "asset_id", "edge_id", "region_id", "baseline_id", "lifecycle", "overall_status",
         "last_alerted_status", micros("as_of"), micros("last_observed_at"),
@@ -232,6 +260,24 @@ def proj_cm_state(spark, sf_dir):
     )
 
 
+@query
+def proj_configured_fields(spark, sf_dir):
+    """A projection made of configured paths and rules alone."""
+    projection = configured_projections([CONFIGURED])["configured_state"]
+    return _cm_columns(read_model(M.cm_state(events(spark, sf_dir)), projection, Settings(), as_of()))
+
+
+@query
+def proj_configured_handler(spark, sf_dir):
+    """A known projection under another name and table: its key still lies inside the message."""
+    configure(spark)
+    entry = {"name": "fleet", "handler": "logistics_status", "topic": "fleet-status", "table": "fleet_state"}
+    projection = configured_projections([entry])["fleet"]
+    messages = M.logistics_status(events(spark, sf_dir)).withColumn("key", F.lit("other").cast("binary"))
+    rows = read_model(messages, projection, Settings(), as_of())
+    return rows.select("asset_id", "status_revision", micros("updated_at"))
+
+
 @query
 def proj_logistics_status(spark, sf_dir):
     rows = _model(M.logistics_status(events(spark, sf_dir)), "logistics_status")
