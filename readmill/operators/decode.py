@@ -30,13 +30,13 @@ PROTO_MESSAGES = (
     "RegionWearTrends",
 )
 
-_TOMBSTONE = "message value is None (tombstone?)"
-_NOT_JSON = "not valid JSON"
+_TOMBSTONE = "message without a value"
+_NOT_JSON = "value is not JSON text"
 
 
 def decode_json(messages: DataFrame) -> DataFrame:
     """Whole-text JSON objects only."""
-    return _decode_object(messages, "JSON payload is ")
+    return _decode_object(messages, "JSON value is a ")
 
 
 def decode_cloudevents(messages: DataFrame) -> DataFrame:

@@ -8,23 +8,23 @@ from readmill.operators import quarantine as Q
 from tests.helpers import messages, projected
 
 BAD = [
-    (None, "message value is None (tombstone?)"),
-    (b"\xff\xfe", "not valid JSON"),
-    ("not json", "not valid JSON"),
-    ("", "not valid JSON"),
-    ('{"a":1} x', "not valid JSON"),
-    ('{"a":1}}', "not valid JSON"),
-    ('{"a":1}]', "not valid JSON"),
-    ('{"a":1},{"b":2}', "not valid JSON"),
-    ('{"a":1}],[{"a":1}', "not valid JSON"),
-    ('{"a":1}{"a":2}', "not valid JSON"),
-    ('{"a":1,}', "not valid JSON"),
-    ("[1,2,3]", "JSON payload is list, expected object"),
-    ('"str"', "JSON payload is str, expected object"),
-    ("null", "JSON payload is NoneType, expected object"),
-    ("true", "JSON payload is bool, expected object"),
-    ("12", "JSON payload is int, expected object"),
-    (" 1.5", "JSON payload is float, expected object"),
+    (None, "message without a value"),
+    (b"\xff\xfe", "value is not JSON text"),
+    ("not json", "value is not JSON text"),
+    ("", "value is not JSON text"),
+    ('{"a":1} x', "value is not JSON text"),
+    ('{"a":1}}', "value is not JSON text"),
+    ('{"a":1}]', "value is not JSON text"),
+    ('{"a":1},{"b":2}', "value is not JSON text"),
+    ('{"a":1}],[{"a":1}', "value is not JSON text"),
+    ('{"a":1}{"a":2}', "value is not JSON text"),
+    ('{"a":1,}', "value is not JSON text"),
+    ("[1,2,3]", "JSON value is a list, expected object"),
+    ('"str"', "JSON value is a str, expected object"),
+    ("null", "JSON value is a NoneType, expected object"),
+    ("true", "JSON value is a bool, expected object"),
+    ("12", "JSON value is a int, expected object"),
+    (" 1.5", "JSON value is a float, expected object"),
 ]
 GOOD = ['{"a":1}', ' \n{"a":1}\t', "{}", '{"a":1,"a":2}', '{"a":"é \\" }"}', '{"a":{"b":[1,{}]}}']
 
@@ -58,7 +58,7 @@ def test_cloudevents(spark, body, missing):
 def test_cloudevents_shares_json_rules(spark):
     rows = D.decode_cloudevents(messages(spark, ["[]", "x", None])).orderBy("offset").collect()
     assert [r.decode_error for r in rows] == [
-        "CloudEvent envelope is list, expected object", "not valid JSON", "message value is None (tombstone?)"]
+        "CloudEvent envelope is list, expected object", "value is not JSON text", "message without a value"]
 
 
 def test_dispatch():
@@ -96,7 +96,7 @@ def test_outcomes_and_quarantine(spark):
     failed = Q.quarantined(df)
     assert failed.count() == 5
     assert {(r.signature, r.messages) for r in Q.distinct_failures(failed).collect()} == {
-        ("message value is None (tombstone?)", 1), ("not valid JSON", 1), ("status is not an object", 1),
+        ("message without a value", 1), ("value is not JSON text", 1), ("status is not an object", 1),
         ("status.status_revision is not a whole number", 1), ("status.status_revision is out of range", 1)}
     assert {(r.outcome, r.messages) for r in Q.outcome_counts(df).collect()} == {
         ("DecodeError", 2), ("handler_exception", 2), ("write_error", 1), ("skipped", 1), ("written", 1)}

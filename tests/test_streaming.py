@@ -30,7 +30,7 @@ def test_upsert_stream_restarts_and_replays(spark, tmp_path):
     assert {r.asset_id: r.baseline_id for r in table.read().collect()} == expected
 
     failures = spark.read.parquet(store.quarantine_path()).collect()
-    assert sorted(r.detail for r in failures) == ["message value is None (tombstone?)", "not valid JSON"]
+    assert sorted(r.detail for r in failures) == ["message without a value", "value is not JSON text"]
     assert bytes(next(r.value for r in failures if r.value is not None)) == b"broken"
     counters = {(r.batch_id, r.metric): r.value for r in spark.read.parquet(store.metrics_path()).collect()}
     assert counters == {(0, "messages_consumed"): 4, (0, "rows_written"): 1, (0, "decode_errors"): 2,

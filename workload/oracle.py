@@ -46,10 +46,10 @@ def latest(partition: str, where: str = "true", source: str = "e") -> str:
 
 ORACLE: dict[str, str] = {}
 
-BROKEN = """CASE WHEN e % 13 = 5 THEN 'message value is None (tombstone?)'
-     WHEN e % 10 = 3 THEN 'not valid JSON'
-     WHEN e % 11 = 4 THEN 'JSON payload is list, expected object'
-     WHEN e % 17 = 2 OR e % 19 = 7 THEN 'not valid JSON'
+BROKEN = """CASE WHEN e % 13 = 5 THEN 'message without a value'
+     WHEN e % 10 = 3 THEN 'value is not JSON text'
+     WHEN e % 11 = 4 THEN 'JSON value is a list, expected object'
+     WHEN e % 17 = 2 OR e % 19 = 7 THEN 'value is not JSON text'
      ELSE 'ok' END"""
 
 ORACLE["decode_json_events"] = f"""
@@ -74,8 +74,8 @@ MIXED = f"""{E}, x AS (
          WHEN e % 31 = 9 THEN 'write_error'
          WHEN e % 31 = 11 THEN 'skipped'
          WHEN e % 97 = 13 THEN 'handler_exception' ELSE 'written' END AS outcome,
-    CASE WHEN e % 31 = 3 THEN 'message value is None (tombstone?)'
-         WHEN e % 31 = 5 THEN 'not valid JSON'
+    CASE WHEN e % 31 = 3 THEN 'message without a value'
+         WHEN e % 31 = 5 THEN 'value is not JSON text'
          WHEN e % 31 = 7 THEN 'status is not an object'
          WHEN e % 31 = 13 THEN 'message key is not UTF-8'
          WHEN e % 31 = 9 THEN 'status.status_revision is out of range'
@@ -508,6 +508,15 @@ ORACLE["projected_fallbacks"] = throttle(
     "topic, subject", 86400,
 )
 
+ORACLE["first_present"] = """
+SELECT event_id, CASE WHEN event_id % 3 = 1 THEN '0' WHEN event_id % 2 = 0 THEN '' ELSE 'c-' || event_id END AS found FROM events"""
+
+ORACLE["blobs_as_text"] = f"""
+WITH {E}, {latest("u")}, p AS ({ORACLE["proj_telemetry_latest"]})
+SELECT asset AS asset_id, CASE WHEN e % 4 = 3 THEN '[]' ELSE '[' || array_to_string(list_transform(range(1, e % 3 + 2),
+  lambda i: '{{"ci_id":' || e || ',"slot_id":"slot-' || i || '"}}'), ',') || ']' END AS blob FROM l
+UNION ALL SELECT asset_id, CASE WHEN NOT no_sustainment THEN 'some' END FROM p"""
+
 ORACLE["proj_configured_fields"] = ORACLE["proj_cm_state"]
 
 OTHER = "CASE WHEN e % 6 = 1 THEN 'other' ELSE asset END"

@@ -15,7 +15,7 @@ from readmill.operators import assignment as A
 from readmill.operators import coalesce, decode, explode, merge, monitor, retention
 from readmill.operators import quarantine as Q
 from readmill.operators.provenance import Resolver, fieldwise, message_pair, pair_or_derive
-from readmill.plans.batch import Settings, project_messages, read_model, rows_to_write
+from readmill.plans.batch import Settings, blobs_as_json, project_messages, read_model, rows_to_write
 from readmill.plans.mapping import configured_projections
 from readmill.plans.projections import get_projection, table_columns
 from readmill.session import configure, materialise, scratch_path
@@ -651,6 +651,30 @@ def scalar_times(spark, sf_dir):
     )
 
 
+@query
+def first_present(spark, sf_dir):
+    """The first of three entries that is there and not null; 0 and the empty text count as there."""
+    e = F.col("event_id")
+    body = F.concat(
+        F.when(e % 3 == 0, '{"a":null,').when(e % 3 == 1, '{"a":0,').otherwise("{"),
+        F.when(e % 2 == 0, '"b":"",').otherwise(""), F.lit('"c":"c-'), e, F.lit('"}'),
+    )
+    read = events(spark, sf_dir).select("event_id", F.parse_json(body).alias("v"))
+    found = V.first_present(*(V.field(F.col("v"), name) for name in "abc"))
+    return read.select("event_id", F.try_variant_get(found, "$", "string").alias("found"))
+
+
+@query
+def blobs_as_text(spark, sf_dir):
+    """Nested columns as JSON text, as for a sink without such a type; what the message has not got stays NULL."""
+    made = _model(M.telemetry_latest(M.table(configure(spark), sf_dir, "customer")), "telemetry_latest")
+    rows = blobs_as_json(made, get_projection("telemetry_latest").variants)
+    slots = blobs_as_json(_model(M.cm_state(events(spark, sf_dir)), "cm_state"), ("installed",))
+    return slots.select("asset_id", F.col("installed").alias("blob")).unionByName(
+        rows.select("asset_id", F.when(F.col("sustainment").isNotNull(), "some").alias("blob"))
+    )
+
+
 @query
 def link_state(spark, sf_dir):
     """Link severed flag over one proxy row per event."""
