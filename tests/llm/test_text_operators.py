@@ -1,7 +1,7 @@
 import hashlib
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,12 +47,51 @@ def test_models_tell_random_strings_from_names(spark):
     rng = random.Random(4)
     alphabet = secret_scan.ALPHABET[:62]
     chance = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
-    names = [cases.prose(4, s).replace(" ", "_").replace(".", "").lower() for s in range(400)]
+    names = [cases.prose(4, s).replace(" ", "_-/"[s % 3]).replace(".", "").lower() for s in range(400)]
     train = [(chance(24), True) for _ in range(100)] + [(n, False) for n in names[:300] if len(n) > 3]
     model = secret_scan.fit(spark.createDataFrame(train, "token string, random boolean"))
-    tried = [(chance(24), 1) for _ in range(100)] + [(n, 0) for n in names[300:] if len(n) >= 16]
-    rows = spark.createDataFrame(tried, "t string, y int").select("y", secret_scan.log_ratio(F.col("t"), model).alias("s")).collect()
-    assert sum((r.s >= secret_scan.MARGIN) == bool(r.y) for r in rows) >= 0.97 * len(rows)
+    settings = {
+        "alone": ("", 20, ""), "short": ("", 12, ""),
+        "path": (f"{names[302]}/", 20, f"/{names[305]}"), "name": (f"{names[301]}-", 20, ""),
+    }
+    tried = [(kind, before + chance(n) + after) for kind, (before, n, after) in settings.items() for _ in range(60)]
+    tried += [("none", n) for n in names[300:] if len(n) >= 12]
+    df = spark.createDataFrame(tried, "kind string, t string")
+    found = defaultdict(list)
+    for r in df.select("kind", F.regexp_extract("t", r"[A-Za-z0-9+/_-]{12,}$", 0).alias("run")).select(
+        "kind", "run", secret_scan.segments(F.col("run"), model).alias("g")
+    ).collect():
+        before, n, after = settings.get(r.kind, ("", 0, ""))
+        low = len(r.run) - len(after) - n
+        own = [min(g.end, low + n) - max(g.begin, low) for g in r.g if g.end - g.begin <= 1.4 * n]
+        found[r.kind].append(max(own, default=0) >= 0.7 * n if n else bool(r.g))
+    assert all(sum(found[kind]) >= 0.9 * 60 for kind in settings), {k: sum(v) for k, v in found.items()}
+    assert sum(found["none"]) <= 0.02 * len(found["none"])
+
+
+def segments_by_hand(places, model, margin, drop):
+    """The same in a loop."""
+    found, total, best, begin, end, n = [], 0.0, 0.0, 0, 0, len(secret_scan.ALPHABET)
+    for i, (a, b) in enumerate(zip(places, places[1:])):
+        total += model[a * n + b]
+        if total <= 0 or total <= best - drop:
+            found += [(begin, end)] if best >= margin else []
+            total, best, begin, end = 0.0, 0.0, i + 1, i + 1
+        elif total > best:
+            best, end = total, i + 2
+    return found + ([(begin, end)] if best >= margin else [])
+
+
+def test_segments_equal_a_loop(spark):
+    rng = random.Random(9)
+    n = len(secret_scan.ALPHABET)
+    model = [rng.choice([-2.0, -1.0, 1.0, 2.0]) for _ in range(n * n)]
+    tokens = ["".join(rng.choices(secret_scan.ALPHABET[: rng.randint(2, n)], k=rng.choice([12, 30, 300]))) for _ in range(80)]
+    rows = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secret_scan.segments(F.col("t"), model, 5.0, 3.0).alias("g")).collect()
+    for r in rows:
+        places = [secret_scan.ALPHABET.index(c) for c in r.t]
+        assert [(g.begin, g.end) for g in r.g] == segments_by_hand(places, model, 5.0, 3.0)
+    assert sum(len(r.g) for r in rows) > 80
 
 
 def test_running_sums_over_blocks(spark):
