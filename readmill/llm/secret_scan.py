@@ -42,6 +42,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 TOKEN = "[A-Za-z0-9+/_-]"
 MIN_TOKEN = 12
+RUN = f"{TOKEN}{{{MIN_TOKEN},}}"
 #: Tokens of training texts have at least so many characters.
 MIN_FIT_TOKEN = 4
 #: Least sum of log-likelihood ratios of a secret, and by how much the sum may fall inside one.
@@ -106,14 +107,27 @@ def fit(tokens: DataFrame) -> list[float]:
     return [min(max(c - o, low), high) for a, b in zip(chance, names) for c, o in zip(a, b)]
 
 
+def _ratios(token: Column, model: list[float]) -> Column:
+    """Log-likelihood ratio of each pair of neighbouring characters."""
+    table, n = F.array(*[F.lit(x) for x in model]), len(ALPHABET)
+
+    def scored(places: Column) -> Column:
+        count = F.size(places) - 1
+        return F.zip_with(
+            F.slice(places, F.lit(1), count), F.slice(places, F.lit(2), count), lambda a, b: F.get(table, a * n + b)
+        )
+
+    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    return F.get(F.transform(F.array(places), scored), 0)
+
+
 def segments(token: Column, model: list[float], margin: float = MARGIN, drop: float = DROP) -> Column:
     """Array of (begin, end, score) of the stretches of a token that are random rather than ordinary.
 
     A stretch grows while the sum of its pairs' log-likelihood ratios stays above 0 and within ``drop`` of its
-    highest value, and ends where it was highest; that value is its score, and at least ``margin``.
+    highest value, and ends where it was highest; that value is its score, and at least ``margin``. The
+    token has characters of ``ALPHABET`` only.
     """
-    table = F.array(*[F.lit(x) for x in model])
-    n = len(ALPHABET)
     none = F.array().cast("array<struct<begin:int,end:int,score:double>>")
     start = F.struct(
         F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0).alias("begin"), F.lit(0).alias("end"),
@@ -137,17 +151,21 @@ def segments(token: Column, model: list[float], margin: float = MARGIN, drop: fl
             F.when(over, ended(s)).otherwise(s["found"]).alias("found"),
         )
 
-    def scored(places: Column) -> Column:
-        ratio = lambda a, b: F.when((a >= 0) & (b >= 0), F.get(table, a * n + b)).otherwise(CLIP[0])
-        return F.zip_with(F.slice(places, F.lit(1), F.size(places) - 1), F.slice(places, F.lit(2), F.size(places) - 1), ratio)
+    # Bound by a lambda, so that the ratios are worked out once.
+    return F.get(F.transform(F.array(_ratios(token, model)), lambda x: F.aggregate(x, start, step, ended)), 0)
 
-    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    # Bound by a lambda, so that the places are worked out once.
-    return F.get(F.transform(F.array(places), lambda p: F.aggregate(scored(p), start, step, ended)), 0)
 
+def promising(tokens: Column, model: list[float], margin: float = MARGIN) -> Column:
+    """Whether a token can hold such a stretch: none weighs more than all positive pairs of its token."""
+    most = lambda t: F.aggregate(_ratios(t, model), F.lit(0.0), lambda sum_, x: sum_ + F.greatest(x, F.lit(0.0)))
+    return F.exists(tokens, lambda t: most(t) >= margin)
 
-def _located(text: Column, pattern: str, kind: int, value_group: int | None = None, least: int = 0) -> Column:
-    """Sorted spans of a pattern; only those whose group has at least so many characters."""
+
+def _located(text: Column, pattern: str, kind: int, value_group: int | None = None, least: int = 0, wanted: Column | None = None) -> Column:
+    """Sorted spans of a pattern; only those whose group has at least so many characters.
+
+    Places are worked out where the pattern matches, and only where ``wanted`` holds if that is given.
+    """
     matches = _found(text, pattern)
     values = matches if value_group is None else _found(text, pattern, value_group)
     starts = match_starts(matches, F.split(text, pattern, -1))
@@ -162,7 +180,8 @@ def _located(text: Column, pattern: str, kind: int, value_group: int | None = No
     )
     # Most texts have no match; the places are worked out for the others only.
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), F.filter(spans, lambda s: F.length(s["value"]) >= least)).otherwise(empty)
+    found = F.rlike(text, F.lit(pattern)) if wanted is None else wanted
+    return F.when(found, F.filter(spans, lambda s: F.length(s["value"]) >= least)).otherwise(empty)
 
 
 def _written(spans: Column) -> Column:
@@ -184,7 +203,7 @@ def scan(docs: DataFrame, model: list[float], margin: float = MARGIN) -> DataFra
         _located(F.col("text"), ASSIGN, 0, 2, ASSIGN_VALUE).alias("assign"),
         _located(F.col("text"), ACCESS, 1).alias("access"),
         _located(F.col("text"), HEX, 2).alias("hex"),
-        _located(F.col("text"), f"{TOKEN}{{{MIN_TOKEN},}}", 3).alias("tokens"),
+        _located(F.col("text"), RUN, 3, wanted=promising(_found(F.col("text"), RUN), model, margin)).alias("tokens"),
     )
     based = located.select("doc_id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "tokens")
     random_ = F.flatten(
