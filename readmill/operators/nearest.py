@@ -3,7 +3,8 @@
 Positions become points on the unit sphere, cut into cubes of side 2 / 2**level.
 The search starts with one pair (whole sphere of assets, whole sphere of sites) and
 refines level by level: every asset tile keeps only the site cells that can still
-hold its nearest site. A tile stops being refined once few sites are left for it.
+hold its nearest site. A tile stops being refined once few sites are left for it
+and it has few positions itself, so that no tile is a large group in the last join.
 
 * Work follows distinct tiles and cells, not rows: an area with a third of all
   assets is one tile per level.
@@ -27,8 +28,9 @@ STEP = 2
 SHARED_LEVEL = 12
 # Sides of 12 mm: finer positions are rounding noise.
 LAST_LEVEL = 30
-# Candidate sites a tile may keep without being refined further.
+# Candidate sites and positions a tile may keep without being refined further.
 FEW_SITES = 48
+FEW_POINTS = 8_192
 # Slack for rounding, in units of the Earth radius (6 mm).
 SLACK = 1e-9
 
@@ -116,7 +118,7 @@ def nearest_by_tiles(positions: DataFrame, index: SiteIndex) -> DataFrame:
         ),
         "points",
     )
-    tiles = materialise(points.select(*_cells("t", SHARED_LEVEL)).distinct(), "tiles")
+    tiles = materialise(_count_tiles(points, SHARED_LEVEL), "tiles")
 
     spark = positions.sparkSession
     start = [F.lit(0).cast("int").alias(k) for k in _keys("t") + _keys("c")]
@@ -127,7 +129,7 @@ def nearest_by_tiles(positions: DataFrame, index: SiteIndex) -> DataFrame:
             _refine(pairs, _tiles_at(points, tiles, level), _cells_at(places, cells, level), level),
             f"pairs-{level}",
         )
-        done = F.lit(level >= LAST_LEVEL) | (F.col("left") <= FEW_SITES)
+        done = F.lit(level >= LAST_LEVEL) | ((F.col("left") <= FEW_SITES) & (F.col("held") <= FEW_POINTS))
         settled.append((level, refined.filter(done)))
         pairs = refined.filter(~done).select(*_keys("t"), *_keys("c"), "bound")
         if pairs.isEmpty():
@@ -146,10 +148,14 @@ def _count_cells(places: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _count_tiles(points: DataFrame, level: int) -> DataFrame:
+    return points.select(*_cells("t", level)).groupBy(*_keys("t")).agg(F.count(F.lit(1)).alias("held"))
+
+
 def _tiles_at(points: DataFrame, tiles: DataFrame, level: int) -> DataFrame:
     if level > SHARED_LEVEL:
-        return points.select(*_cells("t", level)).distinct()
-    return tiles.select(*_parents("t", SHARED_LEVEL - level, "t")).distinct()
+        return _count_tiles(points, level)
+    return tiles.select(*_parents("t", SHARED_LEVEL - level, "t"), "held").groupBy(*_keys("t")).agg(F.sum("held").alias("held"))
 
 
 def _cells_at(places: DataFrame, cells: DataFrame, level: int) -> DataFrame:
@@ -167,7 +173,7 @@ def _refine(pairs: DataFrame, tiles: DataFrame, cells: DataFrame, level: int) ->
     parents = pairs.select(
         *[F.col(k).alias(f"p{k}") for k in _keys("t") + _keys("c")], "bound"
     )
-    child_tiles = tiles.select(*_keys("t"), *_parents("t", STEP, "pt"))
+    child_tiles = tiles.select(*_keys("t"), *_parents("t", STEP, "pt"), "held")
     child_cells = cells.select(*_keys("c"), *_parents("c", STEP, "pc"), "n", "sample")
     children = parents.join(child_tiles, _keys("pt")).join(child_cells, _keys("pc"))
     per_tile = Window.partitionBy(*_keys("t"))
@@ -176,7 +182,7 @@ def _refine(pairs: DataFrame, tiles: DataFrame, cells: DataFrame, level: int) ->
         .withColumn("bound", F.min("bound").over(per_tile))
         .filter(_closest(level) <= F.col("bound") + F.lit(SLACK))
         .withColumn("left", F.sum("n").over(per_tile))
-        .select(*_keys("t"), *_keys("c"), "bound", "left")
+        .select(*_keys("t"), *_keys("c"), "bound", "left", "held")
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readmill.session import scratch_path
+from readmill.sources.envelopes import spread
 
 EVENT_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -35,21 +36,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-FILES = 4
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become messages."""
+    return spread(table(spark, sf_dir, name))
+
+
+PARTS = 4
+#: Files of each part, so that a micro-batch is read and decoded by as many tasks.
+SPLITS = 4
 
 
 def event_stream(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> DataFrame:
-    """The events table as a stream of ``FILES`` micro-batches, in the order of arrival.
+    """The events table as a stream of ``PARTS`` micro-batches, in the order of arrival.
 
-    With ``redelivered`` each file but the first repeats some messages of the one before.
+    With ``redelivered`` each part but the first repeats some messages of the one before.
     """
     folder = scratch_path(spark, "event-files")
     events = table(spark, sf_dir, "events")
-    part = F.expr(f"((event_id * 7919) % 1000003) * {FILES} div 1000003")
-    for k in range(FILES):  # one after the other: the stream reads files by age
+    part = F.expr(f"((event_id * 7919) % 1000003) * {PARTS} div 1000003")
+    for k in range(PARTS):  # one after the other: the stream reads files by age
         again = (part == k - 1) & (F.col("event_id") % 6 == 1) if redelivered else F.lit(False)
-        events.where((part == k) | again).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+        events.where((part == k) | again).repartition(SPLITS).write.mode("append").parquet(folder)
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", SPLITS).parquet(folder)
 
 
 def message(topic: str, key: Column, body: Column, partition: Column, offset: Column) -> list[Column]:

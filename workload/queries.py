@@ -35,7 +35,7 @@ def query(run: Query) -> Query:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.table(configure(spark), sf_dir, "events")
+    return M.source(configure(spark), sf_dir, "events")
 
 
 def as_of() -> Column:
@@ -307,7 +307,7 @@ def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def proj_telemetry_latest(spark, sf_dir):
     configure(spark)
     near = A.with_fallback(A.nearest_site_table(_sites(spark, sf_dir)))
-    messages = M.telemetry_latest(M.table(spark, sf_dir, "customer"))
+    messages = M.telemetry_latest(M.source(spark, sf_dir, "customer"))
     rows = _model(messages, "telemetry_latest", Settings(resolver=Resolver(near)))
     return rows.select(
         "asset_id", "edge_id", "region_id", "platform_variant", "callsign", "force_id",
@@ -382,7 +382,7 @@ def _prefix_resolver() -> Resolver:
 
 @query
 def proj_capability_state(spark, sf_dir):
-    orders = M.table(configure(spark), sf_dir, "orders")
+    orders = M.source(configure(spark), sf_dir, "orders")
     rows = _model(M.capability_state(orders), "capability_state", Settings(resolver=_prefix_resolver()))
     return rows.select(
         "asset_id", size_of("capabilities", "n_capabilities"),
@@ -393,7 +393,7 @@ def proj_capability_state(spark, sf_dir):
 
 @query
 def explode_capabilities(spark, sf_dir):
-    orders = M.table(configure(spark), sf_dir, "orders")
+    orders = M.source(configure(spark), sf_dir, "orders")
     rows = _model(M.capability_state(orders), "capability_state")
     return explode.explode_capabilities(rows).select(
         "asset_id", F.col("position").cast("bigint").alias("position"),
@@ -403,7 +403,7 @@ def explode_capabilities(spark, sf_dir):
 
 @query
 def proj_element_telemetry(spark, sf_dir):
-    lines = M.table(configure(spark), sf_dir, "lineitem")
+    lines = M.source(configure(spark), sf_dir, "lineitem")
     rows = _model(M.element_telemetry(lines), "asset_element_telemetry")
     return rows.select(
         "asset_id", "platform_variant", "profile_name", size_of("elements", "n_elements"),
@@ -415,14 +415,14 @@ def proj_element_telemetry(spark, sf_dir):
 
 @query
 def explode_elements(spark, sf_dir):
-    lines = M.table(configure(spark), sf_dir, "lineitem")
+    lines = M.source(configure(spark), sf_dir, "lineitem")
     rows = _model(M.element_telemetry(lines), "asset_element_telemetry")
     return explode.explode_elements(rows).withColumn("position", F.col("position").cast("bigint"))
 
 
 @query
 def proj_inventory(spark, sf_dir):
-    parts = M.table(configure(spark), sf_dir, "part")
+    parts = M.source(configure(spark), sf_dir, "part")
     rows = _model(M.inventory(parts), "asset_element_inventory")
     return rows.select(
         "id", "name", "asset_id", "layer_name", "available_count", "allocated_count",
@@ -667,7 +667,7 @@ def first_present(spark, sf_dir):
 @query
 def blobs_as_text(spark, sf_dir):
     """Nested columns as JSON text, as for a sink without such a type; what the message has not got stays NULL."""
-    made = _model(M.telemetry_latest(M.table(configure(spark), sf_dir, "customer")), "telemetry_latest")
+    made = _model(M.telemetry_latest(M.source(configure(spark), sf_dir, "customer")), "telemetry_latest")
     rows = blobs_as_json(made, get_projection("telemetry_latest").variants)
     slots = blobs_as_json(_model(M.cm_state(events(spark, sf_dir)), "cm_state"), ("installed",))
     return slots.select("asset_id", F.col("installed").alias("blob")).unionByName(
