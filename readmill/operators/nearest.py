@@ -8,7 +8,9 @@ and it has few positions itself, so that no tile is a large group in the last jo
 
 * Work follows distinct tiles and cells, not rows: an area with a third of all
   assets is one tile per level.
-* Joins are equi-joins on a parent cell; nothing is paired with everything.
+* Joins are equi-joins on a parent cell; nothing is paired with everything. They are always
+  shuffled: tiles and cells grow with the input, and files or shuffles of small integers that look
+  small enough to broadcast are many times that in the driver's memory.
 * A bound is always the distance to a real site, so no nearest site is lost.
 """
 
@@ -168,6 +170,11 @@ def _cells_at(places: DataFrame, cells: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """A side that is joined by sorting, whatever its size is taken for."""
+    return df.hint("merge")
+
+
 def _refine(pairs: DataFrame, tiles: DataFrame, cells: DataFrame, level: int) -> DataFrame:
     """Children of every pair that can still hold the tile's nearest site."""
     parents = pairs.select(
@@ -175,7 +182,7 @@ def _refine(pairs: DataFrame, tiles: DataFrame, cells: DataFrame, level: int) ->
     )
     child_tiles = tiles.select(*_keys("t"), *_parents("t", STEP, "pt"), "held")
     child_cells = cells.select(*_keys("c"), *_parents("c", STEP, "pc"), "n", "sample")
-    children = parents.join(child_tiles, _keys("pt")).join(child_cells, _keys("pc"))
+    children = parents.join(_shuffled(child_tiles), _keys("pt")).join(_shuffled(child_cells), _keys("pc"))
     per_tile = Window.partitionBy(*_keys("t"))
     return (
         children.withColumn("bound", F.least(F.col("bound"), _farthest(level)))
@@ -194,7 +201,7 @@ def _closest_of(
         held = places.select(*_cells("c", level), "lat", "lon", "site")
         parts.append(
             pairs.select(*_keys("t"), *_keys("c"))
-            .join(held, _keys("c"))
+            .join(_shuffled(held), _keys("c"))
             .select(F.lit(level).alias("level"), *_keys("t"), F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon"), "site")
         )
     candidates = reduce(DataFrame.unionByName, parts)
@@ -213,7 +220,7 @@ def _closest_of(
         )
     )
     return (
-        spread.join(candidates, ["level", *_keys("t")])
+        spread.join(_shuffled(candidates), ["level", *_keys("t")])
         .groupBy(F.col("lat").alias("_near_lat"), F.col("lon").alias("_near_lon"))
         .agg(best.alias("_near"))
     )
