@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from readmill import files
 from readmill.operators import coalesce, merge, retention
 from readmill.plans.projections import PROJECTIONS, get_projection
-from readmill.sources import tables
+from readmill.sources import key_filter, tables
 from readmill.sources.tables import EventLog, UpsertTable
 
 ROW = T.StructType([T.StructField("k", T.StringType()), T.StructField("x", T.IntegerType()), T.StructField("updated_at", T.TimestampType())])
@@ -222,6 +222,43 @@ def test_new_ids_read_no_old_run(spark, tmp_path, monkeypatch):
     assert len(found) == log.read().count() == 9_001 and (found["1-77"], found["2-5"], found["x"]) == (1, 2, 9)
 
 
+def test_filters_hold_the_bits_of_their_keys(spark, tmp_path):
+    keys = spark.range(6_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("2024-01-02")).cast("date").alias("event_date"), (F.col("id") % 2).cast("int").alias("_bucket"),
+        F.xxhash64("id").alias("key"))
+    sizes = [(day, b, key_filter.parts(n)) for day, n in ((None, 1_000), ("2024-01-02", 2_000)) for b in (0, 1)]
+    key_filter.write(keys, sizes, str(tmp_path), "f")
+    listed = spark.createDataFrame(sizes, "day string, _bucket int, n int")
+    placed = keys.alias("k").join(listed.alias("l"), F.expr("k._bucket = l._bucket and cast(k.event_date as string) <=> l.day"))
+    bits = placed.select("event_date", "k._bucket", key_filter._part("n").alias("part"), F.explode(key_filter._positions()).alias("at"))
+    wanted = bits.groupBy("event_date", "_bucket", "part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    found = spark.read.parquet(str(tmp_path / "f")).drop("folder")
+    as_set = lambda df: {tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in df.collect()}
+    assert found.count() == 6 and as_set(found) == as_set(wanted.select(*found.columns))
+
+
+def test_positions_of_keys_are_not_sorted(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda w, path: plans.append(w._df._jdf.queryExecution().executedPlan().toString()))
+    keys = spark.range(10).select(F.lit("2024-01-02").cast("date").alias("event_date"), F.lit(0).alias("_bucket"), F.col("id").alias("key"))
+    key_filter.write(keys, [("2024-01-02", 0, 1)], str(tmp_path), "f")
+    assert "SortAggregate" not in plans[0] and "HashAggregate" in plans[0]
+
+
+def test_large_batches_ask_runs_until_they_are_hit(spark, tmp_path, monkeypatch):
+    log = EventLog(spark, str(tmp_path / "t"), ("id",), EVENT)
+    for batch in range(2):
+        log.write_batch(events(spark, [(f"{batch}-{i}", batch, at(1 + batch), 0, i) for i in range(3_000)]), batch)
+    batch = events(spark, [(f"1-{i}", 9, at(9), 0, i) for i in range(2_000)] + [("0-5", 9, at(9), 0, 2_000)])
+    wanted = log.may_hold(batch, log.runs())
+    asked, ask = [], key_filter._hits
+    monkeypatch.setattr(key_filter, "FIRST_KEYS", 100)
+    monkeypatch.setattr(key_filter, "_hits", lambda keys, runs, root: asked.append((keys.count(), len(runs))) or ask(keys, runs, root))
+    assert log.may_hold(batch, log.runs()) == wanted and {r.day for r in wanted} == {"2024-01-01", "2024-01-02"}
+    assert len(asked) == 4 and sum(n for n, _ in asked) == 2_001
+    assert asked[0][1] == 2 * tables.DAY_BUCKETS and asked[1][1] == tables.DAY_BUCKETS
+
+
 def test_prune_is_strict_and_keeps_null(spark):
     df = spark.createDataFrame([(1, at(1)), (2, at(2)), (3, None)], "i int, t timestamp")
     keep = lambda hours: {r.i for r in retention.prune(df, "t", hours, F.lit(at(3))).collect()}
