@@ -7,6 +7,7 @@ from readmill.plans.projections import get_projection
 from readmill.sources.envelopes import file_stream, replay
 from readmill.streaming.runner import Store, batch_writer, run_available, table_schema
 from tests.helpers import as_of, messages
+from workload import messages as M
 
 
 def feed(spark, path, bodies, topic):
@@ -50,6 +51,24 @@ def test_event_stream_ignores_redelivery(spark, tmp_path):
     assert replay(spark, source, projection.topic).count() == 5
 
 
+def test_parts_of_the_event_stream_grow_in_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(2_000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id % 7 as user_id", "'t' as event_type", "1.0D as value", "'{}' as props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(M, "ROWS_PER_FILE", 50)
+    assert M.splits_of(rows) == 10
+    batches = []
+
+    def note(batch, _):
+        first, last = batch.selectExpr("min(p)", "max(p)").first()
+        batches.append((first, last, batch.count(), len(batch.select(F.input_file_name()).distinct().collect())))
+
+    stream = M.event_stream(spark, str(tmp_path)).withColumn("p", F.expr(f"((event_id * 7919) % 1000003) * {M.PARTS} div 1000003"))
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [(first, last, files) for first, last, _, files in batches] == [(k, k, 10) for k in range(M.PARTS)]
+    assert sum(n for *_, n, _ in batches) == 2_000
+
+
 def test_a_failing_batch_fails_the_query(spark, tmp_path):
     source, store = str(tmp_path / "in"), Store(spark, str(tmp_path / "store"))
     projection = get_projection("cm_state")

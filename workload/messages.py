@@ -42,8 +42,14 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 PARTS = 4
-#: Files of each part, so that a micro-batch is read and decoded by as many tasks.
+#: Least number of files of each part, and rows of a part for which it has one: a micro-batch is read and decoded by about
+#: as many tasks, or as many as the session has cores if files are put together.
 SPLITS = 4
+ROWS_PER_FILE = 20_000
+
+
+def splits_of(events: DataFrame) -> int:
+    return max(SPLITS, events.count() // (PARTS * ROWS_PER_FILE))
 
 
 def event_stream(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> DataFrame:
@@ -53,11 +59,12 @@ def event_stream(spark: SparkSession, sf_dir: str, redelivered: bool = False) ->
     """
     folder = scratch_path(spark, "event-files")
     events = table(spark, sf_dir, "events")
+    splits = splits_of(events)
     part = F.expr(f"((event_id * 7919) % 1000003) * {PARTS} div 1000003")
     for k in range(PARTS):  # one after the other: the stream reads files by age
         again = (part == k - 1) & (F.col("event_id") % 6 == 1) if redelivered else F.lit(False)
-        events.where((part == k) | again).repartition(SPLITS).write.mode("append").parquet(folder)
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", SPLITS).parquet(folder)
+        events.where((part == k) | again).repartition(splits).write.mode("append").parquet(folder)
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", splits).parquet(folder)
 
 
 def message(topic: str, key: Column, body: Column, partition: Column, offset: Column) -> list[Column]:
