@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from readmill.operators.decode import decoder_for
 from readmill.operators.monitor import FALLBACK_WINDOW_S
 from readmill.operators.provenance import Resolver
 from readmill.operators.quarantine import good_rows
-from readmill.plans.projections import Projection, project, table_columns
+from readmill.plans.projections import Projection, narrowed, project, table_columns
 
 
 @dataclass(frozen=True)
@@ -51,9 +51,12 @@ def project_messages(
     return project(decode(messages), projection, settings.resolver, as_of, settings.enums)
 
 
-def rows_to_write(projected: DataFrame, projection: Projection) -> DataFrame:
-    """One row per table key with its arrival position: last for upsert, first for append."""
-    columns = table_columns(projection, projected)
+def rows_to_write(projected: DataFrame, projection: Projection, only: Sequence[str] | None = None) -> DataFrame:
+    """One row per table key with its arrival position: last for upsert, first for append.
+
+    ``only`` names the columns that are wanted besides the keys.
+    """
+    columns = [c for c in table_columns(projection, projected) if only is None or c in {*projection.keys, *only}]
     rows = good_rows(projected).select(*columns, *ARRIVAL)
     pick = latest_per_key if projection.mode == "upsert" else earliest_per_key
     return pick(rows, list(projection.keys))
@@ -64,9 +67,16 @@ def read_model(
     projection: Projection,
     settings: Settings = Settings(),
     as_of: Column | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The table a full replay of the messages leads to."""
-    rows = rows_to_write(project_messages(messages, projection, settings, as_of), projection)
+    """The table a full replay of the messages leads to.
+
+    Of columns that ``only`` (if given) does not name nothing is computed, sorted or moved but the checks on them, which
+    decide whether a message counts. Spark does not see this by itself, as a key's row is picked whole.
+    """
+    if only is not None:
+        projection = narrowed(projection, only)
+    rows = rows_to_write(project_messages(messages, projection, settings, as_of), projection, only)
     return rows.drop(*ARRIVAL)
 
 

@@ -7,8 +7,8 @@ decoded stream, so a projection adds no shuffle unless its origin strategy does.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -426,6 +426,12 @@ def register_projection(projection: Projection) -> Projection:
     return projection
 
 
+def narrowed(projection: Projection, only: Sequence[str]) -> Projection:
+    """The projection with no more than its keys and the named columns; all its checks stay."""
+    wanted = {*projection.keys, *only}
+    return replace(projection, columns=lambda m: {n: c for n, c in projection.columns(m).items() if n in wanted})
+
+
 def get_projection(name: str) -> Projection:
     if name not in PROJECTIONS:
         raise KeyError(f"unknown projection {name!r} (registered: {sorted(PROJECTIONS)})")

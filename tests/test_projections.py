@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from readmill.operators import assignment as A
 from readmill.operators.explode import explode_capabilities, explode_elements
@@ -197,3 +198,21 @@ def test_event_log_keeps_first_copy(spark):
     event = {"id": "1", "source": "s", "type": "t"}
     topic = messages(spark, [event | {"subject": "first"}, event | {"subject": "second"}])
     assert [r.subject for r in read_model(topic, get_projection("tactical_events")).collect()] == ["first"]
+
+
+def test_columns_that_are_not_wanted_are_not_computed(spark):
+    bodies = [
+        {"asset_id": "a", "elements": [{"element_id": "e1"}], "platform_variant": "old"},
+        {"asset_id": "a", "elements": [{"element_id": "e2"}, {}], "platform_variant": "v", "observed_at_ns": "5"},
+        {"asset_id": "b", "elements": []}, {"asset_id": "b", "elements": "none"}, "broken", {"elements": [{}]}, None,
+        {"asset_id": "c", "elements": [{}], "observed_at_ns": 10**30},
+    ]
+    projection = get_projection("asset_element_telemetry")
+    sent = messages(spark, bodies, projection.topic)
+    whole = read_model(sent, projection, as_of=as_of())
+    narrow = read_model(sent, projection, as_of=as_of(), only=("elements",))
+    assert narrow.columns == ["asset_id", "elements"]
+    text = lambda df: sorted(tuple(r) for r in df.select("asset_id", F.to_json("elements")).collect())
+    assert text(narrow) == text(whole) and len(text(whole)) >= 3
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "platform_variant" not in plan and "platform_variant" in whole._jdf.queryExecution().optimizedPlan().toString()

@@ -217,8 +217,8 @@ def prune_ttl_policy(spark, sf_dir):
 # ------------------------------------------------------------------- projections
 
 
-def _model(messages: DataFrame, name: str, settings: Settings = Settings()) -> DataFrame:
-    return read_model(messages, get_projection(name), settings, as_of())
+def _model(messages: DataFrame, name: str, settings: Settings = Settings(), only: tuple[str, ...] | None = None) -> DataFrame:
+    return read_model(messages, get_projection(name), settings, as_of(), only)
 
 
 @query
@@ -394,7 +394,7 @@ def proj_capability_state(spark, sf_dir):
 @query
 def explode_capabilities(spark, sf_dir):
     orders = M.source(configure(spark), sf_dir, "orders")
-    rows = _model(M.capability_state(orders), "capability_state")
+    rows = _model(M.capability_state(orders), "capability_state", only=("capabilities",))
     return explode.explode_capabilities(rows).select(
         "asset_id", F.col("position").cast("bigint").alias("position"),
         at("capability", "$.store", "store"), at("capability", "$.rounds", "rounds", "bigint"),
@@ -416,7 +416,7 @@ def proj_element_telemetry(spark, sf_dir):
 @query
 def explode_elements(spark, sf_dir):
     lines = M.source(configure(spark), sf_dir, "lineitem")
-    rows = _model(M.element_telemetry(lines), "asset_element_telemetry")
+    rows = _model(M.element_telemetry(lines), "asset_element_telemetry", only=("elements",))
     return explode.explode_elements(rows).withColumn("position", F.col("position").cast("bigint"))
 
 
