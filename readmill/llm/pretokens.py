@@ -7,6 +7,9 @@ them, and most of the library's time can be saved by a dictionary. What is cache
 chunk is split into pre-tokens with the tokenizer's own pattern, and new pre-tokens go to
 the library in one batch.
 
+Chunks of white-space-free vocabularies are found by Arrow: a slice of texts is split and
+dictionary-encoded at once, so that Python sees each distinct chunk of a slice once, not each word.
+
 A text only takes this way if it is made of characters for which the split and the
 normal form are known to agree with the library's (``ORDINARY``); any other text goes to
 the library whole. Results are the library's in every case.
@@ -16,9 +19,12 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -61,11 +67,19 @@ def _byte_letters() -> list[str]:
 LETTERS = _byte_letters()
 
 
-def encode_parts(path: str, parts: list[str]) -> list[list[int]]:
-    """Ids of pre-tokens, from the library's model itself."""
-    model = tokenizer(path).model
+def encode_parts(path: str, parts: list[str], made=list) -> list:
+    """Ids of pre-tokens, from the library's model itself; ``made`` holds those of each."""
+    tokenize = tokenizer(path).model.tokenize
     written = LETTERS.__getitem__
-    return [[t.id for t in model.tokenize("".join(map(written, p.encode())))] for p in parts]
+    # ASCII letters and digits are written as they are.
+    return [
+        made([t.id for t in tokenize(p if p.isascii() and p.isalnum() else "".join(map(written, p.encode())))])
+        for p in parts
+    ]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encode_all(path: str, texts: list[str]) -> list:
@@ -102,10 +116,10 @@ class WordIds:
         self.parts, self.chunks = Bounded(), Bounded()
 
     def _encode(self, parts: list[str]) -> dict:
-        return {p: np.asarray(i, dtype="<u4").tobytes() for p, i in zip(parts, encode_parts(self.path, parts))}
+        return dict(zip(parts, encode_parts(self.path, parts, _packed)))
 
     def _split(self, chunk: str) -> list[str]:
-        if chunk.isalpha():
+        if chunk.isalpha() or not chunk:  # Arrow's split gives empty chunks at the ends of a text
             return [chunk]
         word = chunk[:-1]
         if chunk[-1] in ".,;:!?" and word.isalpha():
@@ -113,18 +127,30 @@ class WordIds:
         return self.split(chunk)
 
     def _join(self, chunks: list[str]) -> dict:
-        split = [self._split(c) for c in chunks]
-        known = self.parts.fill(set(chain.from_iterable(split)), self._encode).__getitem__
-        return {c: b"".join(map(known, s)) for c, s in zip(chunks, split)}
+        # One flat list: the interpreter's garbage collector walks over every small one that is kept.
+        parts, ends = [], []
+        for c in chunks:
+            parts += self._split(c)
+            ends.append(len(parts))
+        ids = list(map(self.parts.fill(set(parts), self._encode).__getitem__, parts))
+        return {c: b"".join(ids[a:b]) for c, a, b in zip(chunks, chain((0,), ends), ends)}
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """As a call, for texts of ordinary characters."""
+        split = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
+        words = pc.dictionary_encode(pc.list_flatten(split))
+        chunks = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.chunks.fill(set(chunks), self._join)
+        ids = np.array([known[c] for c in chunks] or [b""], dtype=object)
+        words, ends = words.indices.to_numpy(), split.offsets.to_numpy().tolist()
+        return [b"".join(ids[words[a:b]].tolist()) for a, b in zip(ends, ends[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit numbers."""
-        plain = [None if ODD.search(t) or SPECIAL in t else t.lower().split() for t in texts]
-        known = self.chunks.fill(set(chain.from_iterable(p for p in plain if p)), self._join).__getitem__
-        odd = iter(encode_all(self.path, [t for t, p in zip(texts, plain) if p is None]))
-        return [
-            np.asarray(next(odd), dtype="<u4").tobytes() if p is None else b"".join(map(known, p)) for p in plain
-        ]
+        odd = [bool(ODD.search(t)) or SPECIAL in t for t in texts]
+        plain = iter(self._plain([t for t, o in zip(texts, odd) if not o]))
+        others = iter(encode_all(self.path, [t for t, o in zip(texts, odd) if o]))
+        return [np.asarray(next(others), dtype="<u4").tobytes() if o else next(plain) for o in odd]
 
 
 class ByteCounts:

@@ -1,3 +1,4 @@
+import gc
 import zlib
 from collections import Counter, defaultdict
 
@@ -41,6 +42,26 @@ def test_a_full_cache_changes_nothing(monkeypatch):
         assert count(part) == [len(x) for x in library(BYTE, part)]
 
 
+def test_every_ordinary_character_and_blank_ends():
+    ordinary = [c for c in map(chr, range(0x2030)) if not pretokens.ODD.search(c)]
+    texts = [f"a{c}b X{c} {c}" for c in ordinary] + ["", " ", "\t a \n", "\x0ba\x0c", "a..b,c 's'Still"]
+    assert [np.frombuffer(i, "<u4").tolist() for i in pretokens.WordIds(WORD)(texts)] == library(WORD, texts)
+
+
+def test_new_words_leave_no_small_containers_behind():
+    """The garbage collector would walk over all of them, again and again."""
+    words, runs = pretokens.WordIds(WORD), []
+    text = " ".join(f"w{chr(97 + i % 26)}{cases.SYLLABLES[i % 7]}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}x." for i in range(17_000))
+    words(["warm up"])
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        words([text])
+    finally:
+        gc.callbacks.pop()
+    assert len(words.chunks.young) > 15_000 and runs.count("start") <= 5
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
