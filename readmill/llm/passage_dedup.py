@@ -5,17 +5,17 @@ Texts are runs of words, words being what stands between ASCII white space. A *w
 touching and overlapping repetitions are one run, and its words are deleted. So a repeated run
 is found from its first word to its last, whether or not it ends with a line.
 
-Windows are not all compared. Each selects the least of the hashes of its ``_gram`` word runs as its
-fingerprint (the first of equal ones); neighbouring windows mostly select the same one, and
-equal windows always do. So a text is a chain of marks, each with the windows that select it, and
-the words of those windows are the mark's *context*. Marks that occur once end there. Of equal
-contexts all but the first are repeated, extended both ways as far as the mark's windows reach. Only
-the first of each context is looked at word by word, and only where its mark stands in other contexts
-too: at the ends of a repeated run. What comes back from each comparison is one row per distinct
+Windows are not all compared. Each selects a fingerprint, a run of ``_gram`` words: the first whose two leading
+words have certain hashes (one in ``_sparsity`` does), or, where the window has none, its own first one. Neighbouring
+windows mostly select the same one, and equal windows always do. So a text is a chain of marks, each with the
+windows that select it, and the words of those windows are the mark's *context*. Marks that occur once end
+there. Of equal contexts all but the first are repeated, extended both ways as far as the mark's windows
+reach. Only the first of each context is looked at word by word, and only where its mark stands in other
+contexts too: at the ends of a repeated run. What comes back from each comparison is one row per distinct
 context or window, the first place, and a text's repeated windows are those of its own that are not
-among them; so a passage that a third of all texts share is one row, not a group. Hashes of longer
-runs are made of those of shorter ones, and least hashes of longer runs likewise, so that a
-text costs a few passes over its words.
+among them; so a passage that a third of all texts share is one row, not a group. A text's words become
+one string of hashes of equal length, so that every run of words is a piece of it and costs one hash: a text
+costs few passes over its words.
 
 A text that occurs under several ids is compared once, for its first row; in the others every window
 stood earlier, so that they go whole if they have ``min_words`` words.
@@ -43,7 +43,9 @@ MIN_WORDS = 50
 SPACE = r"[\x20\x09-\x0D]+"
 #: A word with the white space before it.
 TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
-_PLACE_BITS = 31
+#: The highest bit: a number with it has as many hexadecimal digits as every other.
+_HIGH = -(1 << 63)
+_DIGITS = 16
 
 
 def _text() -> Column:
@@ -55,34 +57,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _gram(min_words: int) -> int:
-    """Words of a fingerprint: a power of two, about a third of a window."""
-    return 1 << max(0, (min_words // 3).bit_length() - 1)
+    """Words of a fingerprint: a power of two, about a sixth of a window."""
+    return 1 << max(0, (min_words // 6).bit_length() - 1)
 
 
-def _joined(rows: DataFrame, name: str, of: int, width: int, step: int, join) -> DataFrame:
-    """``rows`` with the array ``name`` of spans of ``of`` entries joined to spans of ``width`` of them.
+def _sparsity(min_words: int) -> int:
+    """One in how many words begins a fingerprint: then marks and windows that have none are fewest together."""
+    return max(1, (min_words - _gram(min_words) + 1) * 2 // 7)
 
-    Each pass joins up to ``step`` spans that touch or overlap. Spans that reach beyond the end hold what is there.
-    """
-    while of < width:
-        longer = min(width, of * step)
-        offsets = [*range(0, longer - of, of), longer - of]
-        rows = rows.withColumn(name, F.transform(name, lambda _, i: join(*[F.get(name, i + o) for o in offsets])))
-        of = longer
-    return rows
 
+def _hashes() -> Column:
+    """A hash with the highest bit of each word of ``text``."""
+    words = F.array_remove(F.split(_text(), SPACE, -1), "")
+    return F.transform(words, lambda w: F.xxhash64(w).bitwiseOR(_HIGH))
 
-def _grams(texts: DataFrame, min_words: int, *keep: str) -> DataFrame:
-    """``keep`` and ``grams``: a hash of the ``_gram`` words (a power of two) from each word on."""
-    words = F.filter(F.split(_text(), SPACE, -1), lambda w: w != "")
-    hashed = texts.withColumn("grams", F.transform(words, lambda w: F.xxhash64(w)))
-    return _held(_joined(hashed, "grams", 1, _gram(min_words), 4, F.xxhash64), F.col("grams"), "grams", *keep)
 
+def _digits(hashes: Column) -> Column:
+    """``hashes`` end to end, ``_DIGITS`` bytes each."""
+    return F.array_join(F.transform(hashes, lambda h: F.hex(h)), "").cast("binary")
 
-def _window(begin: Column, min_words: int) -> Column:
-    """Hash of the window from word ``begin`` on."""
-    gram = _gram(min_words)
-    return F.xxhash64(*[F.get("grams", begin + o) for o in [*range(0, min_words - gram, gram), min_words - gram]])
+
+def _run(digits: Column, begin: Column, count: Column) -> Column:
+    """Hash of the ``count`` words from word ``begin`` on.
+
+    ``digits`` should be a variable of a lambda: a column's bytes would be copied whole for each run.
+    """
+    return F.xxhash64(F.substring(digits, begin * _DIGITS + 1, count * _DIGITS))
 
 
 def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
@@ -94,38 +94,64 @@ def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
     return rows.select(*keep, F.inline(F.array(F.struct(made.alias(name)))))
 
 
-def _marks(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_hash, n (words) and ``marks``: the fingerprints that the windows of each text select.
+def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, text_hash, n (words), and of the marks that the windows of each text select ``places``, ``marks`` and ``contexts``.
 
-    A mark's ``begin`` and ``last`` are the first and last window that select it, and ``context`` is a
-    hash of all words from the first word of the one to the last word of the other.
+    A mark is the hash of the words at its place; its context is the hash of all words from the first word of the
+    first window that selects it to the last word of the last one. Arrays of numbers take half the room of structs.
     """
-    width = min_words - _gram(min_words) + 1
+    gram = _gram(min_words)
+    width = min_words - gram + 1
     keep = ("doc_id", "text_hash")
-    texts = _keyed(docs)
-    ranked = F.transform(
-        "grams", lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 64 - _PLACE_BITS), _PLACE_BITS).bitwiseOR(i.cast("long"))
+    size = F.size("hashes")
+    last = size - min_words
+    every = _sparsity(min_words)
+
+    def begins(i: Column) -> Column:
+        below = lambda h, bits, most: h.bitwiseAND((1 << bits) - 1) < most
+        if gram == 1 or every == 1:
+            return below(F.get("hashes", i), 20, (1 << 20) // every)
+        # Two words: frequent words alone would begin too many or too few.
+        return below(F.get("hashes", i), 20, (2 << 20) // every) & below(F.get("hashes", i + 1), 1, 1)
+
+    def before(name: str, k: Column) -> Column:
+        return F.coalesce(F.get(name, k - 1), F.lit(-1))
+
+    def reached(stop: Column, k: Column) -> Column:
+        # Windows that end before they reach a fingerprint select their own first place.
+        alone = F.sequence(before("stops", k) + 1, stop - width)
+        return F.when(stop - before("stops", k) > width, F.concat(alone, F.array(stop))).otherwise(F.array(stop))
+
+    rows = _held(_keyed(docs), _hashes(), "hashes", *keep)
+    found = F.filter(F.sequence(F.lit(0), size - gram), begins)
+    stops = F.when(last >= 0, F.concat(found, F.array(size - gram + 1))).otherwise(F.array().cast("array<int>"))
+    rows = _held(rows, stops, "stops", *keep, "hashes")
+    rows = _held(rows, F.flatten(F.transform("stops", reached)), "places", *keep, "hashes")
+    # Once the last window has its place, no other follows.
+    rows = _held(rows, F.filter("places", lambda p, k: before("places", k) < last), "places", *keep, "hashes")
+
+    def context(digits: Column, place: Column, k: Column) -> Column:
+        return _run(digits, before("places", k) + 1, F.least(place, last) - before("places", k) - 1 + min_words)
+
+    hashed = F.transform(F.array(_digits(F.col("hashes"))), lambda digits: F.struct(
+        F.transform("places", lambda p: _run(digits, p, F.lit(gram))).alias("marks"),
+        F.transform("places", lambda p, k: context(digits, p, k)).alias("contexts"),
+    ))
+    return rows.select(*keep, size.alias("n"), "places", F.inline(hashed))
+
+
+def _mark(k: Column, min_words: int) -> Column:
+    """Entry ``k`` of ``places``, ``marks`` and ``contexts``; ``begin`` and ``last`` are the first and last window that select it."""
+    begin = F.coalesce(F.get("places", k - 1) + 1, F.lit(0))
+    end = F.least(F.get("places", k), F.col("n") - min_words)
+    return F.struct(F.get("marks", k).alias("mark"), begin.alias("begin"), end.alias("last"), F.get("contexts", k).alias("context"))
+
+
+def _marks(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, text_hash, n (words) and ``marks``: the fingerprints that the windows of each text select."""
+    return _fingerprints(docs, min_words).select(
+        "doc_id", "text_hash", "n", F.transform("places", lambda _, k: _mark(k, min_words)).alias("marks")
     )
-    least = _joined(_grams(texts, min_words, *keep).withColumn("least", ranked), "least", 1, width, 6, F.least)
-    count = F.greatest(F.size("grams") - (min_words - 1), F.lit(0))
-    chosen = F.array_distinct(F.slice("least", F.lit(1), count))
-    made = _held(least, chosen, "chosen", *keep, "grams")
-    place = lambda x: x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
-    # A lesser fingerprint is selected once it is in reach, a greater one when the one before is not.
-    begin = lambda x, before: F.when(before.isNull(), 0).when(x < before, place(x) - (width - 1)).otherwise(place(before) + 1)
-
-    def mark(x: Column, k: Column) -> Column:
-        after = F.get("chosen", k + 1)
-        return F.struct(
-            F.get("grams", place(x)).alias("mark"),
-            begin(x, F.get("chosen", k - 1)).alias("begin"),
-            F.when(after.isNull(), F.size("grams") - min_words).otherwise(begin(after, x) - 1).alias("last"),
-        )
-
-    made = _held(made, F.transform("chosen", mark), "marks", *keep, "grams")
-    context = lambda m: F.xxhash64(_window(m["begin"], min_words), _window(m["last"], min_words), m["last"] - m["begin"])
-    marks = F.transform("marks", lambda m: m.withField("context", context(m)))
-    return made.select(*keep, F.size("grams").alias("n"), marks.alias("marks"))
 
 
 def _numbered(rows: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -133,11 +159,16 @@ def _numbered(rows: DataFrame, column: str, *keep: str) -> DataFrame:
     return rows.select(*keep, F.posexplode(column).alias("k", "_entry")).select(*keep, "k", "_entry.*")
 
 
-def _without_listed(column: str, listed: str) -> Column:
-    """``column`` without the entries whose places are in ``listed``; the work is linear in both."""
+def _unlisted(column: str, listed: str) -> Column:
+    """The places of ``column`` that are not in ``listed``; the work is linear in both."""
     places = F.when(F.size(column) > 0, F.sequence(F.lit(0), F.size(column) - 1))
     none = F.array().cast("array<int>")
-    return F.transform(F.array_except(F.coalesce(places, none), F.coalesce(listed, none)), lambda k: F.get(column, k))
+    return F.array_except(F.coalesce(places, none), F.coalesce(listed, none))
+
+
+def _without_listed(column: str, listed: str) -> Column:
+    """``column`` without the entries whose places are in ``listed``."""
+    return F.transform(_unlisted(column, listed), lambda k: F.get(column, k))
 
 
 def _lone(marks: DataFrame) -> DataFrame:
@@ -154,15 +185,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     # A text's marks are the same in all of its rows.
-    firsts = _marks(docs, min_words).where(f"n >= {min_words}").groupBy("text_hash").agg(
-        F.min(row).alias("first"), F.max(row).alias("last"), F.first("n").alias("n"), F.first("marks").alias("marks")
+    firsts = _fingerprints(docs, min_words).where(f"n >= {min_words}").groupBy("text_hash").agg(
+        F.min(row).alias("first"), F.max(row).alias("last"), *[F.first(c).alias(c) for c in ("n", "places", "marks", "contexts")]
     )
     firsts = materialise(firsts, "passage-texts")
 
     # Marks that occur once leave first: no window that selects them is repeated.
-    lone = _lone(_numbered(firsts, "marks", "text_hash"))
-    shared = firsts.join(lone, "text_hash", "left").select("text_hash", "first", _without_listed("marks", "lone").alias("marks"))
-    shared = materialise(shared.where(F.size("marks") > 0), "passage-marks")
+    lone = _lone(firsts.select("text_hash", F.posexplode("marks").alias("k", "mark")))
+    shared = firsts.drop("last").join(lone, "text_hash", "left")
+    shared = _held(shared, _unlisted("marks", "lone"), "left", "text_hash", "first", "n", "places", "marks", "contexts")
+    marks = F.transform("left", lambda k: _mark(k, min_words))
+    shared = materialise(shared.where(F.size("left") > 0).select("text_hash", "first", marks.alias("marks")), "passage-marks")
 
     # Of equal contexts all but the first are repeated from end to end.
     place = F.struct("first.none", "first.doc_id", "text_hash", "begin", F.col("last").alias("end"), "mark", "k")
@@ -199,12 +232,11 @@ def _first_windows(docs: DataFrame, spans: DataFrame, min_words: int) -> DataFra
     texts = _keyed(docs).join(asked, F.col("text_hash") == F.col("_text_hash"))
     # Not a condition of the join: texts are shuffled here as they are for the deletion.
     texts = texts.where(F.coalesce(F.col("doc_id") == F.col("_doc_id"), F.col("doc_id").isNull() & F.col("_none")))
-    hashed = _grams(texts, min_words, "doc_id", "text_hash", "spans")
-    windows = F.transform(
-        F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"]))),
-        lambda i: F.struct(i.alias("begin"), _window(i, min_words).alias("hash")),
-    )
-    listed = hashed.select("doc_id", "text_hash", F.inline(windows))
+    begins = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"])))
+    windows = F.transform(F.array(_digits(_hashes())), lambda digits: F.transform(
+        begins, lambda i: F.struct(i.alias("begin"), _run(digits, i, F.lit(min_words)).alias("hash"))
+    ))
+    listed = texts.select("doc_id", "text_hash", F.inline(F.flatten(windows)))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "begin")
     firsts = listed.groupBy("hash").agg(F.min(place).alias("o"))
     return firsts.groupBy("o.text_hash").agg(F.collect_list("o.begin").alias("known"))
@@ -248,11 +280,10 @@ def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = passed(docs, ("runs", "clean_text")).withColumn("_hash", F.xxhash64(_text()))
     joined = keyed.join(found, F.col("_hash") == F.col("_text_hash"), "left")
     whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("_found.n") - 1).alias("last")))
-    runs = F.when(F.col("_found").isNull(), None).when(
-        F.col("doc_id").eqNullSafe(F.col("_found._doc_id")), F.col("_found._runs")
-    ).otherwise(whole)
+    first = F.col("doc_id").eqNullSafe(F.col("_found._doc_id"))
+    runs = F.when(F.col("_found").isNull(), None).when(first, F.col("_found._runs")).otherwise(whole)
     joined = joined.withColumn("runs", runs)
-    clean = F.when(F.col("runs").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("runs")))
+    clean = F.when(F.col("runs").isNull(), F.col("text")).when(~first, "").otherwise(_without(F.col("text"), F.col("runs")))
     return joined.withColumn("clean_text", clean).drop("_text_hash", "_hash", "_found")
 
 
@@ -265,7 +296,7 @@ def dedup_passage_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> Data
     runs = F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>"))
     return done.select(
         "doc_id",
-        F.size(F.split(_text(), "\n", -1)).cast("long").alias("n_lines"),
+        (F.octet_length(_text()) - F.octet_length(F.replace(_text(), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1).alias("n_deleted"),
         F.array_join(F.transform(runs, lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",").alias("deleted"),
         F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("clean_sha256"),

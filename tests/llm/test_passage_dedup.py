@@ -95,3 +95,22 @@ def test_a_text_is_split_a_bounded_number_of_times(spark):
     marks = passage_dedup._marks(cases.documents(spark), 50).where("n >= 50")
     plan = marks._jdf.queryExecution().optimizedPlan().toString()
     assert 1 <= plan.count("split(") <= 3 and len(plan) < 20_000
+
+
+def test_words_are_hashed_once_and_runs_of_them_at_fingerprints_only(spark):
+    """No pass joins the hashes of several words from each word on; a run of words is one piece of a text's hashes."""
+    plan = passage_dedup._marks(cases.documents(spark), 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") <= 5
+
+
+def test_windows_without_a_fingerprint_of_their_own(spark):
+    """Texts of few different words, where one in so many words begins no fingerprint, or every word does."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(["a"] * rng.randint(10, 90))) for i in range(6)]
+    docs += [(10 + i, " ".join(rng.choices("bcd", k=rng.randint(10, 90)))) for i in range(20)]
+    docs += [(40 + i, " ".join([f"x{i % 4}", f"y{i % 4}"] * rng.randint(10, 60) + [f"z{i}"])) for i in range(12)]
+    found = {r.doc_id: r for r in passage_dedup.dedup_passages(spark.createDataFrame(docs, "doc_id long, text string"), 14).collect()}
+    assert [WORD.findall(found[i].clean_text) for i, _ in docs] == without_passages(docs, 14)
+    marks = passage_dedup._marks(spark.createDataFrame(docs, "doc_id long, text string"), 14).collect()
+    assert all(m.begin <= m.last for r in marks for m in r.marks)
+    assert all(r.marks[-1].last == r.n - 14 for r in marks if r.n >= 14)
