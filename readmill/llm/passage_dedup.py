@@ -6,7 +6,8 @@ touching and overlapping repetitions are one run, and its words are deleted. So
 is found from its first word to its last, whether or not it ends with a line.
 
 Windows are not all compared. Each selects a fingerprint, a run of ``_gram`` words: the first whose two leading
-words have certain hashes (one in ``_sparsity`` does), or, where the window has none, its own first one. Neighbouring
+words have certain hashes. One in so many runs is *rare*, more are *common* (``_sparsity``): a window selects its first rare one, where
+it has none its first common one, and where it has neither its own first run. Neighbouring
 windows mostly select the same one, and equal windows always do. So a text is a chain of marks, each with the
 windows that select it, and the words of those windows are the mark's *context*. Marks that occur once end
 there. Of equal contexts all but the first are repeated, extended both ways as far as the mark's windows
@@ -40,12 +41,14 @@ from readmill.llm.columns import passed
 from readmill.session import materialise
 
 MIN_WORDS = 50
-SPACE = r"[\x20\x09-\x0D]+"
+#: In Java's expressions ``\s`` is [\x20\x09-\x0D] and nothing else, and the quicker way to say it.
+SPACE = r"\s"
 #: A word with the white space before it.
-TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+TOKEN = r"\s*\S+"
 #: The highest bit: a number with it has as many hexadecimal digits as every other.
 _HIGH = -(1 << 63)
-_DIGITS = 16
+#: Bytes of a word's hash.
+_WIDTH = 8
 
 
 def _text() -> Column:
@@ -61,9 +64,10 @@ def _gram(min_words: int) -> int:
     return 1 << max(0, (min_words // 6).bit_length() - 1)
 
 
-def _sparsity(min_words: int) -> int:
-    """One in how many words begins a fingerprint: then marks and windows that have none are fewest together."""
-    return max(1, (min_words - _gram(min_words) + 1) * 2 // 7)
+def _sparsity(min_words: int) -> tuple[int, int]:
+    """One in how many runs is a rare fingerprint, and one in how many a common one: then marks are few, and so are windows without."""
+    places = min_words - _gram(min_words) + 1
+    return max(1, places * 4 // 7), max(1, places * 2 // 11)
 
 
 def _hashes() -> Column:
@@ -73,8 +77,8 @@ def _hashes() -> Column:
 
 
 def _digits(hashes: Column) -> Column:
-    """``hashes`` end to end, ``_DIGITS`` bytes each."""
-    return F.array_join(F.transform(hashes, lambda h: F.hex(h)), "").cast("binary")
+    """``hashes`` end to end, ``_WIDTH`` bytes each."""
+    return F.unhex(F.array_join(F.transform(hashes, lambda h: F.hex(h)), ""))
 
 
 def _run(digits: Column, begin: Column, count: Column) -> Column:
@@ -82,7 +86,7 @@ def _run(digits: Column, begin: Column, count: Column) -> Column:
 
     ``digits`` should be a variable of a lambda: a column's bytes would be copied whole for each run.
     """
-    return F.xxhash64(F.substring(digits, begin * _DIGITS + 1, count * _DIGITS))
+    return F.xxhash64(F.substring(digits, begin * _WIDTH + 1, count * _WIDTH))
 
 
 def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
@@ -95,62 +99,92 @@ def _held(rows: DataFrame, made: Column, name: str, *keep: str) -> DataFrame:
 
 
 def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_hash, n (words), and of the marks that the windows of each text select ``places``, ``marks`` and ``contexts``.
+    """doc_id, text_hash, n (words), and of the marks that the windows of each text select ``ends``, ``marks`` and ``contexts``.
 
-    A mark is the hash of the words at its place; its context is the hash of all words from the first word of the
-    first window that selects it to the last word of the last one. Arrays of numbers take half the room of structs.
+    An end is the last window that selects the mark, after those that select the mark before. A mark is the hash of the
+    words at its place; its context is the hash of all words from the first word of the first window that selects it to the
+    last word of the last one. Arrays of numbers take half the room of structs.
     """
     gram = _gram(min_words)
     width = min_words - gram + 1
     keep = ("doc_id", "text_hash")
     size = F.size("hashes")
     last = size - min_words
-    every = _sparsity(min_words)
+    rare, common = _sparsity(min_words)
+    # Two words: frequent words alone would begin too many or too few. The first one's hash alone rules out half.
+    pairs = gram > 1 and common > 2
+
+    def below(i: Column, every: int) -> Column:
+        if not pairs:
+            return F.get("hashes", i) < _HIGH + (1 << 63) // every
+        return F.get("hashes", i).bitwiseXOR(F.get("hashes", i + 1)) < (1 << 64) // every
 
     def begins(i: Column) -> Column:
-        below = lambda h, bits, most: h.bitwiseAND((1 << bits) - 1) < most
-        if gram == 1 or every == 1:
-            return below(F.get("hashes", i), 20, (1 << 20) // every)
-        # Two words: frequent words alone would begin too many or too few.
-        return below(F.get("hashes", i), 20, (2 << 20) // every) & below(F.get("hashes", i + 1), 1, 1)
+        return (F.get("hashes", i) < _HIGH // 2) & below(i, common) if pairs else below(i, common)
 
     def before(name: str, k: Column) -> Column:
         return F.coalesce(F.get(name, k - 1), F.lit(-1))
 
-    def reached(stop: Column, k: Column) -> Column:
-        # Windows that end before they reach a fingerprint select their own first place.
-        alone = F.sequence(before("stops", k) + 1, stop - width)
-        return F.when(stop - before("stops", k) > width, F.concat(alone, F.array(stop))).otherwise(F.array(stop))
+    def mark(place: Column, end: Column) -> Column:
+        return F.struct(place.alias("place"), end.alias("end"))
+
+    def let(value: Column, f) -> Column:
+        return F.get(F.transform(F.array(value), f), F.lit(0))
+
+    def reached(j: Column, k: Column) -> Column:
+        """The marks after the rare fingerprint before and up to the one that is number ``j`` of all."""
+        return let(before("rare", k), lambda previous: let(F.get("found", j), lambda stop: chained(j, previous, stop)))
+
+    def chained(j: Column, previous: Column, stop: Column) -> Column:
+        limit = stop - width  # the last window that ends before it reaches the stop
+        passed_by = lambda m: before("found", previous + m + 1)
+        inner = F.filter(F.slice("found", previous + 2, j - previous - 1), lambda _, m: passed_by(m) < limit)
+
+        def piece(place: Column, m: Column) -> Column:
+            # Windows without any fingerprint select their own first run.
+            alone_to = F.least(place - width, limit)
+            alone = F.transform(F.sequence(passed_by(m) + 1, alone_to), lambda b: mark(b, b))
+            own = F.array(mark(place, F.when(place < stop, F.least(place, limit)).otherwise(stop)))
+            return F.when(place - passed_by(m) <= width, own).when(alone_to > passed_by(m), F.concat(alone, own)).otherwise(own)
+
+        between = F.flatten(F.transform(F.concat(inner, F.array(stop)), piece))
+        return F.when(before("found", previous + 1) < limit, between).otherwise(F.array(mark(stop, stop)))
 
     rows = _held(_keyed(docs), _hashes(), "hashes", *keep)
     found = F.filter(F.sequence(F.lit(0), size - gram), begins)
-    stops = F.when(last >= 0, F.concat(found, F.array(size - gram + 1))).otherwise(F.array().cast("array<int>"))
-    rows = _held(rows, stops, "stops", *keep, "hashes")
-    rows = _held(rows, F.flatten(F.transform("stops", reached)), "places", *keep, "hashes")
+    # After the last run there is a stop that no window selects.
+    found = F.when(last >= 0, F.concat(found, F.array(size - gram + 1))).otherwise(F.array().cast("array<int>"))
+    rows = _held(rows, found, "found", *keep, "hashes")
+    places = F.when(last >= 0, F.sequence(F.lit(0), F.size("found") - 1)).otherwise(F.array().cast("array<int>"))
+    stops = F.filter(places, lambda j: (j == F.size("found") - 1) | below(F.get("found", j), rare))
+    rows = _held(rows, stops, "rare", *keep, "hashes", "found")
+    rows = _held(rows, F.flatten(F.transform("rare", reached)), "chain", *keep, "hashes")
     # Once the last window has its place, no other follows.
-    rows = _held(rows, F.filter("places", lambda p, k: before("places", k) < last), "places", *keep, "hashes")
+    chain = F.filter("chain", lambda m, k: F.coalesce(F.get("chain", k - 1)["end"], F.lit(-1)) < last)
+    rows = _held(rows, chain, "chain", *keep, "hashes")
+    ends = F.transform("chain", lambda m: F.least(m["end"], last))
+    rows = _held(rows, ends, "ends", *keep, "hashes", "chain")
 
-    def context(digits: Column, place: Column, k: Column) -> Column:
-        return _run(digits, before("places", k) + 1, F.least(place, last) - before("places", k) - 1 + min_words)
+    def context(digits: Column, end: Column, k: Column) -> Column:
+        return _run(digits, before("ends", k) + 1, end - before("ends", k) - 1 + min_words)
 
     hashed = F.transform(F.array(_digits(F.col("hashes"))), lambda digits: F.struct(
-        F.transform("places", lambda p: _run(digits, p, F.lit(gram))).alias("marks"),
-        F.transform("places", lambda p, k: context(digits, p, k)).alias("contexts"),
+        F.transform("chain", lambda m: _run(digits, m["place"], F.lit(gram))).alias("marks"),
+        F.transform("ends", lambda e, k: context(digits, e, k)).alias("contexts"),
     ))
-    return rows.select(*keep, size.alias("n"), "places", F.inline(hashed))
+    return rows.select(*keep, size.alias("n"), "ends", F.inline(hashed))
 
 
-def _mark(k: Column, min_words: int) -> Column:
-    """Entry ``k`` of ``places``, ``marks`` and ``contexts``; ``begin`` and ``last`` are the first and last window that select it."""
-    begin = F.coalesce(F.get("places", k - 1) + 1, F.lit(0))
-    end = F.least(F.get("places", k), F.col("n") - min_words)
-    return F.struct(F.get("marks", k).alias("mark"), begin.alias("begin"), end.alias("last"), F.get("contexts", k).alias("context"))
+def _mark(k: Column) -> Column:
+    """Entry ``k`` of ``ends``, ``marks`` and ``contexts``; ``begin`` and ``last`` are the first and last window that select it."""
+    begin = F.coalesce(F.get("ends", k - 1) + 1, F.lit(0))
+    return F.struct(F.get("marks", k).alias("mark"), begin.alias("begin"), F.get("ends", k).alias("last"), F.get("contexts", k).alias("context"))
 
 
 def _marks(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, text_hash, n (words) and ``marks``: the fingerprints that the windows of each text select."""
     return _fingerprints(docs, min_words).select(
-        "doc_id", "text_hash", "n", F.transform("places", lambda _, k: _mark(k, min_words)).alias("marks")
+        "doc_id", "text_hash", "n", F.transform("ends", lambda _, k: _mark(k)).alias("marks")
     )
 
 
@@ -186,15 +220,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     # A text's marks are the same in all of its rows.
     firsts = _fingerprints(docs, min_words).where(f"n >= {min_words}").groupBy("text_hash").agg(
-        F.min(row).alias("first"), F.max(row).alias("last"), *[F.first(c).alias(c) for c in ("n", "places", "marks", "contexts")]
+        F.min(row).alias("first"), F.max(row).alias("last"), *[F.first(c).alias(c) for c in ("n", "ends", "marks", "contexts")]
     )
     firsts = materialise(firsts, "passage-texts")
 
     # Marks that occur once leave first: no window that selects them is repeated.
     lone = _lone(firsts.select("text_hash", F.posexplode("marks").alias("k", "mark")))
     shared = firsts.drop("last").join(lone, "text_hash", "left")
-    shared = _held(shared, _unlisted("marks", "lone"), "left", "text_hash", "first", "n", "places", "marks", "contexts")
-    marks = F.transform("left", lambda k: _mark(k, min_words))
+    shared = _held(shared, _unlisted("marks", "lone"), "left", "text_hash", "first", "n", "ends", "marks", "contexts")
+    marks = F.transform("left", _mark)
     shared = materialise(shared.where(F.size("left") > 0).select("text_hash", "first", marks.alias("marks")), "passage-marks")
 
     # Of equal contexts all but the first are repeated from end to end.
@@ -204,7 +238,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = materialise(spans, "passage-contexts")
     listed = spans.select("text_hash", F.col("spans.k").alias("listed"))
     copies = shared.join(listed, "text_hash", "left").select("text_hash", _without_listed("marks", "listed").alias("marks"))
-    whole = copies.select("text_hash", F.flatten(F.transform("marks", lambda m: F.sequence(m["begin"], m["last"]))).alias("begins"))
+    span = lambda begin, end: F.struct(begin.alias("begin"), end.alias("end"))
+    whole = copies.select("text_hash", F.transform("marks", lambda m: span(m["begin"], m["last"])).alias("spans"))
 
     # Windows of the first contexts are compared one by one where their mark has other contexts.
     lone = _lone(_numbered(spans.select("text_hash", F.transform("spans", lambda s: s.dropFields("k")).alias("spans")), "spans", "text_hash"))
@@ -214,11 +249,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     none = F.array().cast("array<int>")
     begins = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"])))
     parts = asked.join(first, "text_hash", "left").select("text_hash", F.array_except(begins, F.coalesce("known", none)).alias("begins"))
-
-    # A text's repeated windows are at most its words, so a row here is bounded by its text.
-    both = whole.unionByName(parts).groupBy("text_hash").agg(F.collect_list("begins").alias("begins"))
-    sorted_begins = _held(both, F.array_sort(F.array_distinct(F.flatten("begins"))), "begins", "text_hash")
-    runs = sorted_begins.where(F.size("begins") > 0).select("text_hash", _runs(F.col("begins"), min_words).alias("runs"))
+    parts = _held(parts, F.col("begins"), "begins", "text_hash")
+    firsts_of = F.filter("begins", lambda b, i: ~F.coalesce(F.get("begins", i - 1) == b - 1, F.lit(False)))
+    lasts_of = F.filter("begins", lambda b, i: ~F.coalesce(F.get("begins", i + 1) == b + 1, F.lit(False)))
+    parts = parts.select("text_hash", F.zip_with(firsts_of, lasts_of, span).alias("spans"))
+
+    # A window selects one mark, so that a text's repeated spans are apart; a row here is bounded by its text.
+    both = whole.unionByName(parts).groupBy("text_hash").agg(F.collect_list("spans").alias("spans"))
+    sorted_spans = _held(both, F.sort_array(F.flatten("spans")), "spans", "text_hash")
+    runs = sorted_spans.where(F.size("spans") > 0).select("text_hash", _runs(F.col("spans"), min_words).alias("runs"))
     found = firsts.select("text_hash", "first.doc_id", (F.col("first") != F.col("last")).alias("copied"), "n")
     return found.join(runs, "text_hash", "left").where("copied OR runs IS NOT NULL")
 
@@ -242,18 +281,18 @@ def _first_windows(docs: DataFrame, spans: DataFrame, min_words: int) -> DataFra
     return firsts.groupBy("o.text_hash").agg(F.collect_list("o.begin").alias("known"))
 
 
-def _runs(begins: Column, min_words: int) -> Column:
-    """Merged runs of the windows that begin at the sorted places ``begins``."""
-    apart = lambda a, b: a.isNull() | b.isNull() | (b - a > min_words)
-    firsts = F.filter(begins, lambda b, i: apart(F.get(begins, i - 1), b))
-    lasts = F.filter(begins, lambda b, i: apart(b, F.get(begins, i + 1)))
-    return F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first"), (b + (min_words - 1)).alias("last")))
+def _runs(spans: Column, min_words: int) -> Column:
+    """Merged runs of the windows of the sorted ``spans`` (first and last window)."""
+    apart = lambda a, b: a.isNull() | b.isNull() | (b["begin"] - a["end"] > min_words)
+    firsts = F.filter(spans, lambda s, i: apart(F.get(spans, i - 1), s))
+    lasts = F.filter(spans, lambda s, i: apart(s, F.get(spans, i + 1)))
+    return F.zip_with(firsts, lasts, lambda a, b: F.struct(a["begin"].alias("first"), (b["end"] + (min_words - 1)).alias("last")))
 
 
 def _without(text: Column, runs: Column) -> Column:
     """What is left of ``text`` without the words of ``runs``."""
     tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    tail = F.regexp_extract(text, r"[\x20\x09-\x0D]*$", 0)
+    tail = F.substring(text, F.length(F.rtrim(text, F.lit(" \t\n\v\f\r"))) + 1, F.length(text))
 
     def left(tokens: Column) -> Column:
         joined = lambda begin, end: F.array_join(F.slice(tokens, begin + 1, F.greatest(end - begin, F.lit(0))), "")

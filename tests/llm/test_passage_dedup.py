@@ -114,3 +114,14 @@ def test_windows_without_a_fingerprint_of_their_own(spark):
     marks = passage_dedup._marks(spark.createDataFrame(docs, "doc_id long, text string"), 14).collect()
     assert all(m.begin <= m.last for r in marks for m in r.marks)
     assert all(r.marks[-1].last == r.n - 14 for r in marks if r.n >= 14)
+
+
+def test_few_windows_select_a_mark_of_their_own(spark):
+    """Words as uneven as in prose: at most one mark in nine windows, so that little is written and shuffled."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices(cases.SYLLABLES, k=3)) for _ in range(400)]
+    shares = [1 / (k + 1) for k in range(len(vocabulary))]
+    docs = [(i, " ".join(rng.choices(vocabulary, shares, k=3000))) for i in range(12)]
+    marks = passage_dedup._marks(spark.createDataFrame(docs, "doc_id long, text string"), 50).collect()
+    assert all([m.begin for m in r.marks] == [0] + [m.last + 1 for m in r.marks[:-1]] and r.marks[-1].last == 2950 for r in marks)
+    assert sum(len(r.marks) for r in marks) < 12 * 2951 / 9
